@@ -12,7 +12,7 @@ NONE = "Unclassified"
 
 def parts(lineage: Column) -> Column:
     """Names without empty ones and quotes."""
-    return F.filter(F.transform(F.split(F.replace(lineage, F.lit('"'), F.lit("")), ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.replace(lineage, F.lit('"'), F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def at_rank(names: Column, rank: str = "Phylum") -> Column:
