@@ -72,14 +72,19 @@ def select(rows: list[np.ndarray], toxic: np.ndarray, at_least: int = 3) -> np.n
     """Features in several toxic samples and much commoner there than in clean ones, the strongest first."""
     if not toxic.any() or toxic.all():
         return np.zeros(0, np.int64)
-    ids, of = np.unique(np.concatenate(rows), return_inverse=True)
-    each = np.repeat(toxic, [len(r) for r in rows])
-    bad = np.bincount(of[each], minlength=len(ids))
-    good = np.bincount(of[~each], minlength=len(ids))
+    # A feature that counts occurs in toxic rows, so only these are numbered; the others are looked up row by row.
+    ids, bad = np.unique(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), return_counts=True)
+    if not len(ids):
+        return np.zeros(0, np.int64)
+    good = np.zeros(len(ids), np.int64)
+    for r, t in zip(rows, toxic, strict=True):
+        if not t:
+            at = np.minimum(np.searchsorted(ids, r), len(ids) - 1)
+            good[at[ids[at] == r]] += 1
     lift = (bad / toxic.sum()) / ((good + 0.5) / (~toxic).sum())
     strength = bad * np.log(np.maximum(lift, 1e-9))
     ok = np.flatnonzero((bad >= at_least) & (lift >= 6) & (strength >= 12))
-    return ids[ok[np.lexsort((ids[ok], -strength[ok]))][:MAX_FEATURES]]
+    return ids[ok[np.lexsort((ids[ok], -strength[ok]))][:MAX_FEATURES]].astype(np.int64)
 
 
 def grades_of(rows: list[np.ndarray], toxic: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -144,8 +149,8 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_row
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["doc_id", "y", "f"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").dropDuplicates(["doc_id"])
-    got = texts.mapInArrow(run, "doc_id long, y int, f binary").toPandas().sort_values("doc_id")
-    return [np.frombuffer(bytes(f), "<u4").astype(np.int64) for f in got["f"]], got["y"].to_numpy(np.int64)
+    got = texts.mapInArrow(run, "doc_id long, y int, f binary").toArrow().sort_by("doc_id")
+    return [np.frombuffer(f.as_buffer(), "<u4") for f in got["f"]], got["y"].to_numpy().astype(np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
