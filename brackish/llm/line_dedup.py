@@ -4,11 +4,13 @@ A line is the set of its lower-cased words.  A line goes if an earlier line (by
 `similarity` with it; whether that earlier line goes itself does not matter, so the result needs no order of work.
 
 Equal lines are grouped first, with their first place.  The words of each distinct line are ordered from rare to
-common, by how often words of the same hash bucket occur in the corpus (a table of 2 ** 16 numbers, whatever the
-input), then by length and hash.  Two lines that reach the similarity must share a word in their prefixes of n - ceil(s * n) + 1 words, must
-be of similar length, must have enough words left behind the shared one, and have parity masks that differ little.  Candidate pairs that pass
-these filters are compared word by word.  The prefix join is an equi-join whose hot words the skew join splits; candidates
-carry numbers only, and the lines themselves join in for candidates alone.
+common by a table of 2 ** 20 counts, whatever the input (words of one hash bucket share a count), then by hash.  Of two lines that reach the
+similarity, let n and m >= n be their sizes; they share at least s / (1 + s) * (n + m) words.  So the first shared word is among the first
+m - ceil(s * m) + 1 words of the longer line, and among as many of the shorter one as that bound leaves for the least m in question.  Sizes fall into
+bands a factor 1 / s wide: the shorter line is indexed for partners in its own band and in the next, and the longer looks in its own, so
+that lines too different in length never meet.  Pairs must also have enough words left behind the shared one and parity masks that differ
+little, and those that pass are compared word by word.  Words that occur once in the corpus are not indexed.  The prefix join is an equi-join whose
+hot words the skew join splits; candidates carry numbers only, and the lines themselves join in for candidates alone.
 
 Edge cases: lines without a word are kept and match nothing; a null text is kept; rows equal in id and text are one document and lose the same
 lines; a null id counts as the last; texts keep their other lines and line breaks; extra columns are kept.
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from .common import GAP, HAS_WORD, row_key, table, written
 
 SIMILARITY = 0.8
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+CHUNK = 1 << 10
 NULL_ID = -(2**63) + 1
 
 
@@ -47,56 +50,58 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.where(F.col("line").rlike(HAS_WORD))
 
 
-def coded(word: Column) -> Column:
-    """64 bits: 6 for the length, the longest first, and 58 of a hash."""
-    return F.shiftleft(63 - F.least(F.length(word), F.lit(63)).cast("long"), 58).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 6))
+def bucket(hashed: Column) -> Column:
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1))
 
 
-def rarity(lines: DataFrame) -> Column:
-    """An array literal: for every hash bucket, its words' commonness on a scale of 0 (no commoner than buckets of rare words) to 63,
-    shifted to a number's top bits."""
-    bucket = coded(F.col("w")).bitwiseAND(F.lit(BUCKETS - 1))
-    counts = lines.select(F.explode(split(F.col("line"))).alias("w")).where("w <> ''").groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-    scale = ["0"] * BUCKETS
-    got = counts.collect()  # at most BUCKETS rows
-    usual = 2 * sum(r["n"] for r in got) / BUCKETS  # what rare words alone may bring together in a bucket
-    for r in got:
-        if r["n"] > usual:
-            scale[r["b"]] = str(min(63, int(math.log2(r["n"]))) << 57)
-    return F.split(F.lit(",".join(scale)), ",").cast("array<long>")
+def rarity(lines: DataFrame) -> DataFrame:
+    """One row with a byte for every hash bucket: 32 and three times the binary logarithm of its words' count.  A byte of 32 says that at most one word fell there."""
+    counts = lines.select(F.explode(split(F.col("line"))).alias("w")).where("w <> ''").groupBy(bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
+    every = counts.union(lines.sparkSession.range(BUCKETS).select("id", F.lit(0).cast("long"))).groupBy("b").agg(F.sum("n").alias("n"))
+    level = F.least(F.floor(3 * F.log2(F.greatest("n", F.lit(1)))), F.lit(94)).cast("long")
+    joined = lambda at, s: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(at.alias("at"), s.alias("s")))), lambda x: x["s"]), "")
+    chunks = every.groupBy(F.expr(f"b div {CHUNK}").alias("c")).agg(joined(F.col("b"), F.call_function("char", level + 32)).alias("s"))
+    return written(chunks.agg(joined(F.col("c"), F.col("s")).cast("binary").alias("scale")), "line-rarity")
 
 
 def removed(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(k_id, k_th, pos) of the lines that go, each once or more; and the links between distinct lines (later, earlier)."""
     lines = lines_of(docs)
-    scale = rarity(lines)
     place = F.struct(F.when(F.col("k_id") == NULL_ID, F.lit(2**63 - 1)).otherwise(F.col("k_id")).alias("o"), "k_th", "pos", "k_id")
-    # One row a distinct line: two hashes name it.  Every use asks for all four columns, so that one shuffle serves them all.
+    # One row a distinct line: two hashes name it.
     named = lines.withColumn("g", F.xxhash64("line")).withColumn("g2", F.xxhash64(F.lit(1), "line"))
-    distinct = named.groupBy("g", "g2").agg(F.min(place).alias("first"), F.any_value("line").alias("line")).where("first is not null and line is not null")
-    # Rare words have the smallest numbers: commonness, then length (longer words are rarer), then 51 bits of hash.
-    number = lambda h: F.element_at(scale, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1).bitwiseOR(F.shiftrightunsigned(h, 7))
-    hashes = F.transform(F.array_remove(split(F.col("line")), ""), coded)
-    sets = distinct.select("g", "g2", F.sort_array(F.array_distinct(F.transform(hashes, number))).alias("t"))
+    distinct = written(named.groupBy("g", "g2").agg(F.min(place).alias("first"), F.any_value("line").alias("line")), "lines")
+    scale = F.lit(rarity(distinct).first()["scale"])  # BUCKETS bytes
+    need = lambda total: F.ceil(total * F.lit(similarity / (1 + similarity)) - 1e-9).cast("int")  # noqa: E731  words that two sets of this total size must share
+    # Rare words have the smallest numbers: 7 bits of commonness, then 56 of hash.
+    level = lambda h: F.ascii(F.substring(scale, bucket(h).cast("int") + 1, F.lit(1)).cast("string")) - 32
+    number = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    hashes = F.array_distinct(F.transform(F.array_remove(split(F.col("line")), ""), lambda w: F.xxhash64(w)))
+    sets = distinct.select("g", F.sort_array(F.transform(hashes, number)).alias("t"))
     n = F.size("t")
-    need = lambda total: F.ceil(total * F.lit(similarity / (1 + similarity)) - 1e-9)  # noqa: E731  words that two sets of this total size must share
-    prefix = n - F.ceil(n * F.lit(similarity) - 1e-9).cast("int") + 1
-    flip = lambda at: F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, at).bitwiseAND(F.lit(63)).cast("int"))))
-    posts = sets.select("g", "g2", n.alias("n"), flip(0).alias("p"), flip(6).alias("q"), F.posexplode(F.slice("t", F.lit(1), prefix)).alias("at", "w"))
-    a, b = (posts.select("w", F.col("g").alias(f"g_{x}"), F.col("g2").alias(f"g2_{x}"), F.col("n").alias(f"n_{x}"), F.col("at").alias(f"at_{x}"), F.col("p").alias(f"p_{x}"), F.col("q").alias(f"q_{x}")) for x in "ab")
-    # A word in one set only flips one bit of each parity mask, so the masks differ in no more bits than the sets in words.
-    differ = lambda m: F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b")))
-    most = F.col("n_a") + F.col("n_b") - 2 * need(F.col("n_a") + F.col("n_b"))
-    pairs = a.join(b, "w").where(
-        ((F.col("g_a") < F.col("g_b")) | (F.col("g_a") == F.col("g_b")) & (F.col("g2_a") < F.col("g2_b")))
-        & (F.least("n_a", "n_b") >= F.ceil(F.greatest("n_a", "n_b") * F.lit(similarity) - 1e-9))
-        & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need(F.col("n_a") + F.col("n_b")))
-        & (differ("p") <= most)
-        & (differ("q") <= most)
+    flip = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    prefix = F.slice("t", F.lit(1), n - F.ceil(n * F.lit(similarity) - 1e-9).cast("int") + 1)
+    sets = written(sets.select("g", n.alias("n"), flip.alias("p"), prefix.alias("t")), "line-prefixes")
+    n = F.col("n")
+    band = (F.floor(F.log("n") / -math.log(similarity)) if similarity < 1 else n).cast("int")
+    # The least partner in the next band has this size; a little too small does no harm.
+    beyond = F.ceil(F.pow(F.lit(1 / similarity), band + 1) - 1e-6).cast("int") if similarity < 1 else n + 1
+    first_of = lambda step, m: F.struct((band + step).alias("band"), F.greatest(n - need(n + m) + 1, F.lit(0)).alias("size"))
+    shorter = sets.select("g", "n", "p", "t", F.explode(F.array(first_of(0, n), first_of(1, F.greatest(n, beyond)))).alias("x"))
+    shorter = shorter.select("g", "n", "p", F.col("x.band").alias("band"), F.posexplode(F.slice("t", F.lit(1), F.col("x.size"))).alias("at", "w"))
+    longer = sets.select("g", "n", "p", band.alias("band"), F.posexplode("t").alias("at", "w"))
+    a, b = (d.where(F.shiftrightunsigned("w", 56) > 0).select(F.xxhash64("w", "band").alias("key"), *[F.col(c).alias(f"{c}_{x}") for c in ("g", "n", "at", "p")]) for x, d in (("a", shorter), ("b", longer)))
+    total = F.col("n_a") + F.col("n_b")
+    # A word in one set only flips one bit of the parity mask, so the masks differ in no more bits than the sets in words.
+    pairs = a.join(b, "key").where(
+        ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("g_a") < F.col("g_b")))
+        & (F.col("n_a") >= F.col("n_b") * F.lit(similarity) - 1e-9)
+        & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need(total))
+        & (F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) <= total - 2 * need(total))
     )
-    pairs = pairs.select("g_a", "g2_a", "g_b", "g2_b").distinct()
-    side = lambda x: distinct.select(*[F.col(c).alias(f"{c}_{x}") for c in distinct.columns])
-    both = pairs.join(side("a"), ["g_a", "g2_a"]).join(side("b"), ["g_b", "g2_b"])
+    pairs = pairs.select("g_a", "g_b").distinct()
+    side = lambda x: distinct.select(*[F.col(c).alias(f"{c}_{x}") for c in ("g", "first", "line")])
+    both = pairs.join(side("a"), "g_a").join(side("b"), "g_b")
     both = both.select("first_a", "first_b", words(F.col("line_a")).alias("t_a"), words(F.col("line_b")).alias("t_b"))
     shared = F.size(F.array_intersect("t_a", "t_b"))
     later, earlier = F.greatest("first_a", "first_b"), F.least("first_a", "first_b")
