@@ -9,7 +9,8 @@ similarity, let n and m >= n be their sizes; they share at least s / (1 + s) * (
 m - ceil(s * m) + 1 words of the longer line, and among as many of the shorter one as that bound leaves for the least m in question.  Sizes fall into
 bands a factor 1 / s wide: the shorter line is indexed for partners in its own band and in the next, and the longer looks in its own, so
 that lines too different in length never meet.  Pairs must also have enough words left behind the shared one and parity masks that differ
-little, and those that pass are compared word by word.  Words that occur once in the corpus are not indexed.  The prefix join is an equi-join whose
+little, and those that pass are compared word by word.  Before that, where many lines share one of their rarest words, each is compared with the
+earliest of them; pairs of two lines that are both known to go need no comparison, so a large group of near copies does not become all its pairs.  Words that occur once in the corpus are not indexed.  The prefix join is an equi-join whose
 hot words the skew join splits; candidates carry numbers only, and the lines themselves join in for candidates alone.
 
 Edge cases: lines without a word are kept and match nothing; a null text is kept; rows equal in id and text are one document and lose the same
@@ -19,6 +20,7 @@ lines; a null id counts as the last; texts keep their other lines and line break
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from .common import GAP, HAS_WORD, row_key, table, written
 SIMILARITY = 0.8
 BUCKETS = 1 << 20
 CHUNK = 1 << 10
+#: Groups of at least so many lines with a rare word in common are first compared with their earliest line alone.  It decides on work, not on results.
+HUB_WORDS, HUB_LEAST = 3, 32
 NULL_ID = -(2**63) + 1
 
 
@@ -64,8 +68,17 @@ def rarity(lines: DataFrame) -> DataFrame:
     return written(chunks.agg(joined(F.col("c"), F.col("s")).cast("binary").alias("scale")), "line-rarity")
 
 
+def matches(pairs: DataFrame, distinct: DataFrame, need: Callable[[Column], Column]) -> DataFrame:
+    """(g, later, earlier) of the candidate pairs (g_a, g_b) that share enough words; g names the later line.  The lines are dealt out once."""
+    ends = pairs.select("g_a", "g_b", F.explode(F.array("g_a", "g_b")).alias("g"))
+    texts = ends.join(distinct.select("g", "first", "line"), "g")
+    both = texts.groupBy("g_a", "g_b").agg(F.min(F.struct("first", "g", "line")).alias("x"), F.max(F.struct("first", "g", "line")).alias("y"))
+    both = both.select(F.col("y.g").alias("g"), F.col("y.first").alias("later"), F.col("x.first").alias("earlier"), words(F.col("x.line")).alias("t_x"), words(F.col("y.line")).alias("t_y"))
+    return both.where(F.size(F.array_intersect("t_x", "t_y")) >= need(F.size("t_x") + F.size("t_y"))).select("g", "later", "earlier")
+
+
 def removed(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(k_id, k_th, pos) of the lines that go, each once or more; and the links between distinct lines (later, earlier)."""
+    """(k_id, k_th, pos) of the lines that go, each once or more; and links between distinct lines (later, earlier), at least one for every distinct line that goes."""
     lines = lines_of(docs)
     place = F.struct(F.when(F.col("k_id") == NULL_ID, F.lit(2**63 - 1)).otherwise(F.col("k_id")).alias("o"), "k_th", "pos", "k_id")
     # One row a distinct line: two hashes name it.
@@ -77,40 +90,43 @@ def removed(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     level = lambda h: F.ascii(F.substring(scale, bucket(h).cast("int") + 1, F.lit(1)).cast("string")) - 32
     number = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     hashes = F.array_distinct(F.transform(F.array_remove(split(F.col("line")), ""), lambda w: F.xxhash64(w)))
-    sets = distinct.select("g", F.sort_array(F.transform(hashes, number)).alias("t"))
+    sets = distinct.select("g", "first", F.sort_array(F.transform(hashes, number)).alias("t"))
     n = F.size("t")
     flip = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice("t", F.lit(1), n - F.ceil(n * F.lit(similarity) - 1e-9).cast("int") + 1)
-    sets = written(sets.select("g", n.alias("n"), flip.alias("p"), prefix.alias("t")), "line-prefixes")
+    sets = written(sets.select("g", "first", n.alias("n"), flip.alias("p"), prefix.alias("t")), "line-prefixes")
+    # Words that occur once are of no use.
+    known = lambda w: F.shiftrightunsigned(w, 56) > 0
+    heads = sets.select("g", "first", F.explode(F.slice(F.filter("t", known), F.lit(1), F.lit(HUB_WORDS))).alias("w"))
+    hubs = heads.groupBy("w").agg(F.min(F.struct("first", "g")).alias("hub"), F.count("*").alias("many")).where(F.col("many") >= HUB_LEAST)
+    tried = heads.join(hubs, "w").where(F.col("g") != F.col("hub.g")).select(F.col("g").alias("g_a"), F.col("hub.g").alias("g_b")).distinct()
+    early = written(matches(tried, distinct, need), "line-hub-links")
+    sets = sets.join(early.select("g").distinct().withColumn("goes", F.lit(True)), "g", "left").withColumn("goes", F.coalesce("goes", F.lit(False)))
     n = F.col("n")
     band = (F.floor(F.log("n") / -math.log(similarity)) if similarity < 1 else n).cast("int")
     # The least partner in the next band has this size; a little too small does no harm.
     beyond = F.ceil(F.pow(F.lit(1 / similarity), band + 1) - 1e-6).cast("int") if similarity < 1 else n + 1
     first_of = lambda step, m: F.struct((band + step).alias("band"), F.greatest(n - need(n + m) + 1, F.lit(0)).alias("size"))
-    shorter = sets.select("g", "n", "p", "t", F.explode(F.array(first_of(0, n), first_of(1, F.greatest(n, beyond)))).alias("x"))
-    shorter = shorter.select("g", "n", "p", F.col("x.band").alias("band"), F.posexplode(F.slice("t", F.lit(1), F.col("x.size"))).alias("at", "w"))
-    longer = sets.select("g", "n", "p", band.alias("band"), F.posexplode("t").alias("at", "w"))
-    a, b = (d.where(F.shiftrightunsigned("w", 56) > 0).select(F.xxhash64("w", "band").alias("key"), *[F.col(c).alias(f"{c}_{x}") for c in ("g", "n", "at", "p")]) for x, d in (("a", shorter), ("b", longer)))
+    shorter = sets.select("g", "n", "p", "goes", "t", F.explode(F.array(first_of(0, n), first_of(1, F.greatest(n, beyond)))).alias("x"))
+    shorter = shorter.select("g", "n", "p", "goes", F.col("x.band").alias("band"), F.posexplode(F.slice("t", F.lit(1), F.col("x.size"))).alias("at", "w"))
+    longer = sets.select("g", "n", "p", "goes", band.alias("band"), F.posexplode("t").alias("at", "w"))
+    a, b = (d.where(known(F.col("w"))).select(F.xxhash64("w", "band").alias("key"), *[F.col(c).alias(f"{c}_{x}") for c in ("g", "n", "at", "p", "goes")]) for x, d in (("a", shorter), ("b", longer)))
     total = F.col("n_a") + F.col("n_b")
     # A word in one set only flips one bit of the parity mask, so the masks differ in no more bits than the sets in words.
     pairs = a.join(b, "key").where(
-        ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("g_a") < F.col("g_b")))
+        ~(F.col("goes_a") & F.col("goes_b"))
+        & ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("g_a") < F.col("g_b")))
         & (F.col("n_a") >= F.col("n_b") * F.lit(similarity) - 1e-9)
         & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need(total))
         & (F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) <= total - 2 * need(total))
     )
     pairs = pairs.select("g_a", "g_b").distinct()
-    side = lambda x: distinct.select(*[F.col(c).alias(f"{c}_{x}") for c in ("g", "first", "line")])
-    both = pairs.join(side("a"), "g_a").join(side("b"), "g_b")
-    both = both.select("first_a", "first_b", words(F.col("line_a")).alias("t_a"), words(F.col("line_b")).alias("t_b"))
-    shared = F.size(F.array_intersect("t_a", "t_b"))
-    later, earlier = F.greatest("first_a", "first_b"), F.least("first_a", "first_b")
-    links = written(both.where(shared >= need(F.size("t_a") + F.size("t_b"))).select(later.alias("later"), earlier.alias("earlier")), "line-links")
+    links = written(matches(pairs, distinct, need), "line-links").union(early)
     copies = written(named.select("g", "g2", "k_id", "k_th", "pos").groupBy("g", "g2", "k_id", "k_th").agg(F.min("pos").alias("p"), F.collect_list("pos").alias("all")), "line-places")
     firsts = copies.groupBy("g", "g2").agg(F.min(F.struct(F.when(F.col("k_id") == NULL_ID, F.lit(2**63 - 1)).otherwise(F.col("k_id")).alias("o"), "k_th", F.col("p").alias("pos"), "k_id")).alias("first"), F.sum(F.size("all")).alias("n")).where("n > 1")
     again = copies.join(firsts.select("g", "g2", "first"), ["g", "g2"]).select("k_id", "k_th", "first", F.explode("all").alias("pos"))
     again = again.where(~((F.col("k_id") == F.col("first.k_id")) & (F.col("k_th") == F.col("first.k_th")) & (F.col("pos") == F.col("first.pos")))).select("k_id", "k_th", "pos")
-    return again.union(links.select("later.k_id", "later.k_th", "later.pos")), links
+    return again.union(links.select("later.k_id", "later.k_th", "later.pos")), links.select("later", "earlier")
 
 
 def by_row(gone: DataFrame) -> DataFrame:

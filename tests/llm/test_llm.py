@@ -99,7 +99,9 @@ def brute_lines(rs, s=0.8):
     return out
 
 
-def test_line_dedup(spark, empty):
+@pytest.mark.parametrize("hub", [2, 32])
+def test_line_dedup(spark, empty, monkeypatch, hub):
+    monkeypatch.setattr(line_dedup, "HUB_LEAST", hub)
     base = [say(12) for _ in range(12)]
     near = [" ".join(x.split()[:-1] + ["zz"]) for x in base]
     rs = [(i, "\n".join(random.choices(base + near + ["", "one", "One ", "a b c d", "d c b a e"], k=6))) for i in range(30)] + [(90, None), (91, ""), (None, base[0])]
