@@ -60,9 +60,17 @@ def trim(seq: Column, start: int, end: int) -> Column:
     return F.substring(seq, start, end - start + 1)
 
 
+def once(value: Column, f) -> Column:
+    """f(value) with value worked out once, also where f puts it into a lambda."""
+    return F.transform(F.array(value), f)[0]
+
+
 def kmers(seq: Column, k: int, step: int = 1) -> Column:
-    """All k-letter strings in order, none for short sequences."""
-    return F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1, F.lit(step)), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """All k-letter strings in order, none for short sequences; by blocks, as a place far into a text takes long to reach."""
+    block = step * max(1, 512 // step)
+    within = lambda p: F.transform(F.sequence(F.lit(1), F.least(F.lit(block), F.length(p) - k + 1), F.lit(step)), lambda i: F.substring(p, i, F.lit(k)))
+    part = lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - k) / block).cast("int")), lambda j: once(F.substring(s, j * block + 1, F.lit(block + k - 1)), within))
+    return once(seq, lambda s: F.when(F.length(s) >= k, F.flatten(part(s))).otherwise(F.array().cast("array<string>")))
 
 
 def words(seq: Column, k: int = 8) -> Column:

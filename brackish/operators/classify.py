@@ -50,13 +50,14 @@ def seeded(seq: str, seed: int = 42) -> np.random.Generator:
     return np.random.default_rng([seed, int.from_bytes(hashlib.blake2b(seq.upper().encode(), digest_size=8).digest(), "little")])
 
 
-def bootstrap(seq: str, row_of: dict[str, list[tuple[int, float]]], log_m1: np.ndarray, lineages: list[list[str]], words: list[str], iters: int = 100) -> list[tuple[str, int]]:
+def bootstrap(seq: str, row_of: dict[str, tuple[np.ndarray, np.ndarray]], log_m1: np.ndarray, lineages: list[list[str]], words: list[str], iters: int = 100) -> list[tuple[str, int]]:
     """Best lineage with each rank's share of winners that agree so far, from draws of an eighth of the words."""
     if not words or not lineages:
         return []
     table = np.zeros((len(words), len(lineages)))
     for i, w in enumerate(words):
-        for c, d in row_of.get(w, ()):
+        if w in row_of:
+            c, d = row_of[w]
             table[i, c] = d
     best = int((table.sum(0) - len(words) * log_m1).argmax())
     n = max(1, len(words) // 8)
@@ -85,9 +86,9 @@ def wang_classify(queries: DataFrame, words: DataFrame, classes: DataFrame, k: i
     kind = dict(queries.dtypes)["seq_id"]
     schema = f"seq_id {kind}, assignment array<struct<taxon:string,conf:int>>"
     if words.limit(MAX_ENTRIES + 1).count() <= MAX_ENTRIES:
-        rows: dict[str, list[tuple[int, float]]] = {}
-        for w, c, d in words.select("word", "lineage", "delta").toLocalIterator():
-            rows.setdefault(w, []).append((at[c], d))
+        rows: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for w, e in words.groupBy("word").agg(F.collect_list(F.struct("lineage", "delta")).alias("e")).toLocalIterator():
+            rows[w] = np.array([at[x[0]] for x in e], np.int32), np.array([x[1] for x in e])
         shared = queries.sparkSession.sparkContext.broadcast(rows)
 
         def run(frames):
@@ -98,11 +99,14 @@ def wang_classify(queries: DataFrame, words: DataFrame, classes: DataFrame, k: i
     own = queries.select("seq_id", F.explode(S.words(F.col("seq"), k)).alias("word")).join(words, "word", "left").groupBy("seq_id", "word").agg(F.collect_list(F.struct("lineage", "delta")).alias("e"))
     packed = own.groupBy("seq_id").agg(F.collect_list(F.struct("word", "e")).alias("p")).join(queries.select("seq_id", "seq"), "seq_id")
 
+    def pairs(e):
+        return np.array([c for c, _ in e], np.int32), np.array([d for _, d in e], float)
+
     def run_packed(frames):
         for f in frames:
             out = []
             for s, p in zip(f["seq"], f["p"], strict=True):
-                part = {x["word"]: [(at[e["lineage"]], e["delta"]) for e in x["e"] if e["lineage"] is not None] for x in p}
+                part = {x["word"]: pairs([(at[e["lineage"]], e["delta"]) for e in x["e"] if e["lineage"] is not None]) for x in p}
                 out.append([{"taxon": t, "conf": c} for t, c in bootstrap(s, part, log_m1, names, sorted(part), iters)])
             yield pd.DataFrame({"seq_id": f["seq_id"], "assignment": out})
 

@@ -45,7 +45,7 @@ def _(s, d):
 
 @query("seq3_primer_trim")
 def _(s, d):
-    r = V.reads(s, d).where(F.length("seq") >= 200).withColumn("seq", F.concat(F.lit("TTCCTACGGGNGGCWGCAG"), F.col("seq"), F.lit("GGATTAGATACCCBDGTAGTCAA")))
+    r = V.texts(s, d).where(F.length("seq") >= 200).withColumn("seq", F.concat(F.lit("TTCCTACGGGNGGCWGCAG"), F.col("seq"), F.lit("GGATTAGATACCCBDGTAGTCAA")))
     return search.trim_primers(r, "CCTACGGGNGGCWGCAG", "GACTACHVGGGTATCTAATCC").select("seq_id", F.length("seq").alias("n"))
 
 
@@ -139,24 +139,24 @@ def _(s, d):
 @query("aln6_best_hits")
 def _(s, d):
     """Query set: every id divisible by 50, against all references."""
-    return search.best_hits(V.reads(s, d).where("seq_id % 50 = 0"), V.refs(s, d), most=10)
+    return search.best_hits(V.texts(s, d).where("seq_id % 50 = 0"), V.refs(s, d, V.texts))
 
 
 @query("clu1_greedy_clusters")
 def _(s, d):
-    seqs = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
+    seqs = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
     return search.cluster(seqs, 0.97)
 
 
 @query("pcl1_precluster")
 def _(s, d):
-    seqs = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
+    seqs = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
     return search.precluster(seqs)
 
 
 @query("chm2_chimeras_per_sample")
 def _(s, d):
-    u = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq", "sample").agg(F.min("seq_id").alias("seq_id"), F.count("*").alias("size"))
+    u = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq", "sample").agg(F.min("seq_id").alias("seq_id"), F.count("*").alias("size"))
     return search.chimeras(u)
 
 
@@ -352,8 +352,7 @@ def _(s, d):
 
 @query("cls4_wang_bootstrap")
 def _(s, d):
-    """Query set: every id divisible by 50, against all references."""
-    return classify.truncated(classify.wang_classify(V.reads(s, d).where("seq_id % 50 = 0"), *classify.wang_train(V.refs(s, d))))
+    return classify.truncated(classify.wang_classify(V.texts(s, d), *classify.wang_train(V.refs(s, d, V.texts))))
 
 
 VOTES = f"{V.REFS}, p AS (SELECT kmer, lineage, count(*) AS n FROM (SELECT lineage, unnest({KM.format('seq', 15)}) AS kmer FROM refs) GROUP BY ALL), z AS (SELECT kmer, count(*) AS psize FROM p GROUP BY 1 HAVING count(*) < 20), q AS (SELECT seq_id, kmer, count(*) AS n FROM (SELECT seq_id, unnest({KM.format('seq', 15)}) AS kmer FROM reads) GROUP BY ALL)"
@@ -367,12 +366,12 @@ def _(s, d):
 
 @query("cls7_naive_v2_classify")
 def _(s, d):
-    return classify.descend(classify.top_prefixes(classify.prefix_votes(V.reads(s, d), classify.postings(V.refs(s, d)))))
+    return classify.descend(classify.top_prefixes(classify.prefix_votes(V.texts(s, d), classify.postings(V.refs(s, d, V.texts)))))
 
 
 @query("cls10_flat_classify")
 def _(s, d):
-    return classify.flat_classify(V.reads(s, d), classify.flat_train(V.refs(s, d))).withColumn("score", r6("score"))
+    return classify.flat_classify(V.texts(s, d), classify.flat_train(V.refs(s, d, V.texts))).withColumn("score", r6("score"))
 
 
 @query("cls11_flat_train", f"WITH {V.REFS}, c AS (SELECT lineage, kmer, count(*) AS c FROM (SELECT lineage, unnest({KM.format('seq', 10)}) AS kmer FROM refs) GROUP BY ALL), t AS (SELECT lineage, sum(c) AS t FROM c GROUP BY 1) SELECT kmer, lineage, round((c + 1) / (t + (SELECT count(DISTINCT kmer) FROM c)), 9) AS p FROM c JOIN t USING (lineage)")
@@ -382,9 +381,9 @@ def _(s, d):
 
 @query("cls13_kraken_classify")
 def _(s, d):
-    refs = V.refs(s, d)
+    refs = V.refs(s, d, V.texts)
     p = classify.postings(refs)
-    return classify.kraken_classify(V.reads(s, d), classify.kraken_index(p, refs.count()))
+    return classify.kraken_classify(V.texts(s, d), classify.kraken_index(p, refs.count()))
 
 
 @query("idx1_kraken_index", f"WITH {V.REFS}, p AS (SELECT kmer, lineage, count(*) AS n FROM (SELECT lineage, unnest({KM.format('seq', 15)}) AS kmer FROM refs) GROUP BY ALL), f AS (SELECT kmer, count(*) AS df, count(DISTINCT string_split(lineage, ';')[2]) AS pf FROM p GROUP BY 1) SELECT kmer, lineage, round(n * (ln((SELECT count(*) FROM refs) / df) + 1) * (ln((SELECT count(DISTINCT string_split(lineage, ';')[2]) FROM p) / pf) + 1), 6) AS weight FROM p JOIN f USING (kmer)")
@@ -395,7 +394,7 @@ def _(s, d):
 
 @query("idx4_kmer_lca")
 def _(s, d):
-    return classify.kmer_lca(classify.postings(V.refs(s, d), 12)).select("kmer", F.array_join("lca", ";").alias("lca"))
+    return classify.kmer_lca(classify.postings(V.refs(s, d, V.texts), 12)).select("kmer", F.array_join("lca", ";").alias("lca"))
 
 
 @query("cls18_alignment_fallback", f"WITH {V.TAX}, r AS (SELECT feature_id AS ref_id, lineage AS rl FROM tax WHERE len(lineage) >= 5), j AS (SELECT t.feature_id, t.lineage, r.rl, 0.9 + (t.feature_id % 10) / 100.0 AS identity FROM tax t LEFT JOIN r ON r.ref_id = t.feature_id - t.feature_id % 5 + 4) SELECT feature_id, array_to_string(CASE WHEN len(lineage) < 5 AND identity >= 0.94 AND rl IS NOT NULL THEN list_slice(rl, 1, 5) ELSE lineage END, ';') AS lineage, (len(lineage) < 5 AND identity >= 0.94 AND rl IS NOT NULL) AS replaced FROM j")

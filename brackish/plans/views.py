@@ -12,16 +12,22 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def reads(spark: SparkSession, d: str) -> DataFrame:
-    seq = F.substring(F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), ALPHABET, DNA), 1, 250)
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts; what queries without SQL read."""
+    seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), ALPHABET, DNA)
     return table(spark, d, "documents").select(F.col("doc_id").alias("seq_id"), F.col("source").alias("sample"), seq.alias("seq"))
 
 
-def refs(spark: SparkSession, d: str) -> DataFrame:
+def reads(spark: SparkSession, d: str) -> DataFrame:
+    """The first 250 letters, as READS has them; only for queries that its SQL checks and alignments of equal length."""
+    return texts(spark, d).withColumn("seq", F.substring("seq", 1, 250))
+
+
+def refs(spark: SparkSession, d: str, of=reads) -> DataFrame:
     docs, labels = table(spark, d, "documents").select("doc_id", "lang", "source"), table(spark, d, "labels")
     lin = F.concat(F.lit("Root;"), F.col("lang"), F.lit(";"), F.col("source"), F.lit(";q"), F.col("quality").cast("string"))
     tax = docs.join(labels, "doc_id").select(F.col("doc_id").alias("seq_id"), lin.alias("lineage"))
-    return reads(spark, d).join(tax, "seq_id")
+    return of(spark, d).join(tax, "seq_id")
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
