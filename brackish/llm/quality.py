@@ -1,16 +1,15 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule rejects a document whose score lies above a cutoff.  Cutoffs are chosen for each stratum (language)
-and rule from the labelled documents: candidates are tried from the most lenient to the strictest, and a
-cutoff is accepted while the exact (Clopper-Pearson) upper bound on its false rejections among good
-documents stays at or below the rule's share of `alpha`.  Going on only while accepted is a fixed
-sequence test, which needs no correction along one sequence; over the (stratum, rule) pairs the confidence is
-divided by Bonferroni's rule.  With probability 1 - delta, no stratum loses more than alpha of its good documents
-to the rules.  A stratum with too few labels gets no cutoffs and loses nothing but base failures.
-
-The scores of every document are written once (numbers only); the labelled ones are counted into a
-histogram over fixed candidate cutoffs by a join on the id, so all labels count and only a table of
-strata x rules x cutoffs numbers reaches the driver.  Strata beyond `max_strata` by size are judged together as one.
+Each rule rejects a document whose score lies above a cutoff.  For each stratum (language) joint settings of all rules are tried in one fixed
+order, from the most lenient to the strictest: each step moves one rule, in turn, to its next candidate cutoff.  A setting is
+accepted while the exact (Clopper-Pearson) upper bound on the share of good documents that any rule rejects
+stays at or below `alpha`.  Going on only while accepted is a fixed sequence test, which needs no correction along the
+sequence; over the strata the confidence is divided by Bonferroni's rule.  With probability 1 - delta, no stratum loses more
+than alpha of its good documents to the rules.  A stratum with fewer than `least_labels` good labels gets no cutoffs and loses nothing but base failures.
+
+The scores of every document are written once (numbers only).  A document's first step is that at which the first rule rejects it;
+the labelled good ones are counted by stratum and first step through a join on the id, so all labels count and
+every stratum is judged by itself, in a task of its own that holds as many numbers as there are steps.
 
 Edge cases: a null text has no words and fails the base rule; a null language is a stratum of its own; labels
 with a null or unknown id or grade are ignored; repeated label rows count once, and an id with both grades counts as bad;
@@ -23,6 +22,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,6 @@ from .common import table, written
 
 ALPHA = 0.01
 DELTA = 0.05
-MAX_STRATA = 64
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 #: rule -> candidate cutoffs, lenient to strict; a document is rejected when its score is above the cutoff.
@@ -121,41 +120,72 @@ def upper_bound(x: int, n: int, delta: float) -> float:
     return hi
 
 
+#: The joint settings in order: at each step one rule goes to its candidate of that number.
+STEPS = [(i, rule) for i in range(max(map(len, RULES.values()))) for rule, cutoffs in RULES.items() if i < len(cutoffs)]
+
+
+def least_labels(strata: int, alpha=ALPHA, delta=DELTA) -> int:
+    """Good labels that a stratum needs, with none rejected, before it gets a cutoff."""
+    return math.ceil(math.log(delta / max(1, strata)) / math.log1p(-alpha))
+
+
+def accepted(rejected: list[int], good: int, conf: float, alpha=ALPHA) -> int:
+    """rejected[i]: good documents that the setting of step i rejects.  -> how many steps are accepted."""
+    for i, x in enumerate(rejected):
+        if upper_bound(x, good, conf) > alpha:
+            return i
+    return len(rejected)
+
+
 def choose(above: dict[tuple[str, str], list[int]], good: dict[str, int], alpha=ALPHA, delta=DELTA) -> dict[tuple[str, str], float]:
-    """above[stratum, rule][i]: good documents beyond candidate i.  -> the accepted cutoff of each pair that has one."""
+    """above[stratum, rule][i]: good documents beyond candidate i.  -> the accepted cutoff of each pair that has one.
+
+    For counts known by rule only: rejections are at most their sum.  `judge` counts the documents that any rule rejects."""
     strata = [s for s, n in good.items() if n]
-    each, conf = alpha / len(RULES), delta / max(1, len(strata) * len(RULES))
     out = {}
     for s in strata:
-        for rule, cutoffs in RULES.items():
-            for i, cut in enumerate(cutoffs):
-                if upper_bound(above[s, rule][i], good[s], conf) > each:
-                    break
-                out[s, rule] = cut
+        at, sums = dict.fromkeys(RULES, 0), []
+        for i, rule in STEPS:
+            at[rule] = above[s, rule][i]
+            sums.append(min(good[s], sum(at.values())))
+        for i, rule in STEPS[: accepted(sums, good[s], delta / len(strata), alpha)]:
+            out[s, rule] = RULES[rule][i]
     return out
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, alpha=ALPHA, delta=DELTA, max_strata=MAX_STRATA) -> DataFrame:
-    """Every document's measures and verdict, with the stratum and the rules that rejected it."""
+def first_steps() -> dict:
+    """rule -> the first step at which it rejects the document; the number of steps if it never does."""
+    at = {step: n for n, step in enumerate(STEPS)}
+    out = {}
+    for rule, score in scores().items():
+        cutoffs = F.array(*map(F.lit, RULES[rule]))
+        steps = F.array(*[F.lit(at[i, rule]) for i in range(len(RULES[rule]))], F.lit(len(STEPS)))
+        out[rule] = F.get(steps, F.size(F.filter(cutoffs, lambda c: c >= score)))  # noqa: B023
+    return out
+
+
+def judge(docs: DataFrame, labels: DataFrame, *, alpha=ALPHA, delta=DELTA) -> DataFrame:
+    """Every document's measures and verdict, with the rules that rejected it."""
     cols = docs.select(F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("null")).alias("stratum"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = written(cols.mapInArrow(_features, FEATURES), "quality")
     feats = feats.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     grade = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).where("q = 1")
-    named = [r[0] for r in feats.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(max_strata).collect()]
-    group = F.when(F.col("stratum").isin(named), F.col("stratum")).otherwise(F.lit("other"))
-    good = feats.where("not base_failed").join(grade, "doc_id", "left_semi").withColumn("stratum", group)
-    sums = [F.count_if(score > c).alias(f"{rule}__{i}") for rule, score in scores().items() for i, c in enumerate(RULES[rule])]
-    table_ = good.groupBy("stratum").agg(F.count("*").alias("n"), *sums).collect()
-    counts = {(r["stratum"], rule): [r[f"{rule}__{i}"] for i in range(len(RULES[rule]))] for r in table_ for rule in RULES}
-    cuts = choose(counts, {r["stratum"]: r["n"] for r in table_}, alpha, delta)
-    hit = []
-    for rule, score in scores().items():
-        tests = [(F.col("g") == s) & (score > c) for (s, r), c in cuts.items() if r == rule]
-        hit += [F.when(t, F.lit(rule)) for t in tests]
-    failed = F.array_compact(F.array(*hit)) if hit else F.array().cast("array<string>")
+    stepped = feats.withColumns({f"at_{r}": c for r, c in first_steps().items()})
+    first = F.least(*[F.col(f"at_{r}") for r in RULES])
+    good = stepped.where("not base_failed").join(grade, "doc_id", "left_semi").groupBy("stratum", first.alias("first")).agg(F.count("*").alias("n"))
+    good = written(good, "good")
+    strata = good.select("stratum").distinct().count()
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        at = np.bincount(f["first"], f["n"], len(STEPS) + 1).astype(np.int64)
+        steps = accepted(np.cumsum(at)[:-1].tolist(), int(at.sum()), delta / strata, alpha)
+        return pd.DataFrame({"stratum": f["stratum"].iloc[:1], "steps": [steps]})
+
+    cuts = good.groupBy("stratum").applyInPandas(run, "stratum string, steps int")
+    steps = F.coalesce("steps", F.lit(0))
     return (
-        feats.withColumn("g", group)
-        .withColumn("failed_rules", failed)
+        stepped.join(F.broadcast(cuts), "stratum", "left")
+        .withColumn("failed_rules", F.array_compact(F.array(*[F.when(F.col(f"at_{r}") < steps, F.lit(r)) for r in RULES])))
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
     )
