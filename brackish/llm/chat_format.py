@@ -5,8 +5,8 @@ their names; system turns stay system turns and are nobody's perspective.  `mask
 [start, end) of the text to train on: the bodies and end marks of that speaker's turns.
 
 A dialogue comes in parts of `turns` turn numbers, so that no task holds an unbounded dialogue: parts in order of
-(part, sub), joined, are the whole dialogue, and spans count from the start of their part.  A turn number that more than
-`turns` rows of a dialogue share makes parts of its own, split by hash (sub > 0), after the other turns of its part.
+(part, sub), joined, are the whole dialogue, and spans count from the start of their part.  A part with a turn number that
+more than `turns` rows of the dialogue share is cut into pieces of `turns` rows by position (sub = 0, 1, ...), in the same order of turn, role and text.
 
 Edge cases: a null text is empty; a null role is "unknown"; a null turn comes last, in a part of its own; equal turns are ordered by role and text,
 and repeated rows are repeated turns; rows without a conversation id are dialogues of one row's content each; a dialogue of system turns only has no participant
@@ -15,13 +15,15 @@ and gives no row.  Marks inside texts and names are escaped, so that a text cann
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 TURNS = 64
 LAST = 2**62
+#: Crowded parts that may be sent to the executors whole.
+CROWDED = 1_000
 CONTEXT = ("system",)
 
 
@@ -30,6 +32,22 @@ def escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\"), F.lit("<\\\\")), F.lit("<|"), F.lit("<\\|"))
 
 
+def pieces(rows: DataFrame, turns: int) -> DataFrame:
+    """Rows of crowded parts with sub: their position in the part's order, divided by `turns`.  Equal rows are counted first; the others are dealt
+    out by ranges of the order, and a row's position is what lies in the ranges before and, in its own range, before it."""
+    order = ["at", "role", "body"]
+    equal = rows.groupBy("key", "part", *order).agg(F.count("*").alias("n"), F.first("conv_id").alias("conv_id"))
+    equal = written(equal.repartitionByRange("key", "part", *order).withColumn("range", F.spark_partition_id()), "turns")
+    before = (Window.unboundedPreceding, -1)
+    ranges = equal.groupBy("key", "part", "range").agg(F.sum("n").alias("m"))
+    base = F.coalesce(F.sum("m").over(Window.partitionBy("key", "part").orderBy("range").rowsBetween(*before)), F.lit(0))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("key", "part", "range").orderBy(*order).rowsBetween(*before)), F.lit(0))
+    placed = equal.withColumn("inside", inside).join(ranges.select("key", "part", "range", base.alias("base")), ["key", "part", "range"]).withColumn("start", F.col("base") + F.col("inside"))
+    at = placed.withColumn("sub", F.explode(F.sequence(F.floor(F.col("start") / turns), F.floor((F.col("start") + F.col("n") - 1) / turns))))
+    copies = F.least(F.col("start") + F.col("n"), (F.col("sub") + 1) * turns) - F.greatest(F.col("start"), F.col("sub") * turns)
+    return at.withColumn("_c", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select("key", "part", F.col("sub").cast("long").alias("sub"), "conv_id", *order)
+
+
 def render(turns_df: DataFrame, *, turns: int = TURNS, context: tuple[str, ...] = CONTEXT) -> DataFrame:
     """conv_id, perspective, part, sub, n_turns, text, mask array<struct<start,end>>."""
     rows = turns_df.select(
@@ -38,14 +56,15 @@ def render(turns_df: DataFrame, *, turns: int = TURNS, context: tuple[str, ...]
         F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"),
     ).withColumn("key", F.when(F.col("conv_id").isNull(), F.concat(F.lit("?"), F.xxhash64("at", "role", "body").cast("string"))).otherwise(F.concat(F.lit("="), F.col("conv_id").cast("string"))))
-    full = rows.groupBy("key", "at").agg(F.count("*").alias("n")).where(F.col("n") > turns).select("key", "at", F.ceil(F.col("n") / turns).cast("long").alias("subs"))
-    rows = rows.join(full, ["key", "at"], "left").withColumn("part", F.floor(F.col("at") / turns).cast("long"))
-    # Hash ranges keep the order within a turn that is split: by hash first.
-    tie = F.when(F.col("subs").isNull(), F.lit(0)).otherwise(F.xxhash64("role", "body").cast("long"))
-    share = F.shiftrightunsigned(F.col("tie"), 33) * F.col("subs") / F.lit(2.0**31)
-    sub = F.when(F.col("subs").isNull(), F.lit(0)).otherwise((F.col("at") - F.col("part") * turns) * 2**40 + 1 + F.floor(share)).cast("long")
-    rows = rows.withColumn("tie", tie).withColumn("sub", sub)
-    parts = rows.groupBy("key", "part", "sub").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("at", "tie", "role", "body"))).alias("t"))
+    rows = rows.withColumn("part", F.floor(F.col("at") / turns).cast("long"))
+    full = written(rows.groupBy("key", "part", "at").agg(F.count("*").alias("n")).where(F.col("n") > turns).select("key", "part").distinct(), "crowded")
+    shown = ["key", "part", "sub", "conv_id", "at", "role", "body"]
+    if full.isEmpty():
+        placed = rows.withColumn("sub", F.lit(0).cast("long")).select(*shown)
+    else:
+        marked = rows.join(F.broadcast(full.withColumn("crowded", F.lit(True))) if full.count() <= CROWDED else full.withColumn("crowded", F.lit(True)), ["key", "part"], "left")
+        placed = marked.where("crowded is null").withColumn("sub", F.lit(0).cast("long")).select(*shown).union(pieces(marked.where("crowded"), turns).select(*shown))
+    parts = placed.groupBy("key", "part", "sub").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("at", "role", "body"))).alias("t"))
     speakers = rows.where(~F.col("role").isin(*context)).select("key", F.col("role").alias("perspective")).distinct()
     name = lambda r: escaped(F.regexp_replace(r, r"\s+", " "))
 
