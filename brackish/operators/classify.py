@@ -150,19 +150,44 @@ def prefix_votes(queries: DataFrame, p: DataFrame, k: int = 15, psize_max: int =
     return q.join(useful, "kmer").groupBy("seq_id", "level", "prefix").agg(F.sum(F.col("n") / F.col("psize")).alias("votes"))
 
 
-def top_prefixes(votes: DataFrame) -> DataFrame:
-    """Winner of each level with its share of the level's votes."""
-    w = Window.partitionBy("seq_id", "level")
-    r = votes.withColumn("share", F.col("votes") / F.sum("votes").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc("votes"), "prefix")))
-    return r.where("_r = 1").drop("_r")
+def won(kmers: list[str], times: np.ndarray, lineages: list[list[str]], iters: int = 100, least: float = 0.8, deepest: int = 6) -> str | None:
+    """The deepest prefix from level 1 on that wins its level, and all above theirs, in `least` of the resamples of the read's
+    k-mers (with repeats, as many as there are); each gives 1 / taxa to every prefix of its taxa.  Equal votes go to the first prefix in order."""
+    own = [[[";".join(x[: i + 1]) for i in range(1, min(len(x), deepest + 1))] for x in (y.rstrip(";").split(";") for y in e)] for e in lineages]
+    names = sorted({(y.count(";"), y) for e in own for x in e for y in x})
+    at = {y: i for i, (_, y) in enumerate(names)}
+    total = int(times.sum())
+    drawn = seeded(" ".join(f"{w}*{n}" for w, n in zip(kmers, times, strict=True))).multinomial(total, times / total, iters)
+    votes = np.zeros((iters + 1, len(names)))
+    for a in range(0, len(kmers), 4096):
+        weight = np.zeros((len(kmers[a : a + 4096]), len(names)))
+        for i, e in enumerate(own[a : a + 4096]):
+            for x in e:
+                weight[i, [at[y] for y in x]] += 1 / len(e)
+        votes += np.vstack([times[None, a : a + 4096], drawn[:, a : a + 4096]]) @ weight
+    votes, out = np.round(votes, 9), None
+    for level in range(1, deepest + 1):
+        here = [i for i, (d, _) in enumerate(names) if d == level]
+        if not here:
+            break
+        best = votes[:, here].argmax(1)
+        if ((best[1:] == best[0]) & (votes[1:, here].max(1) > 0)).sum() < least * iters:
+            break
+        out = names[here[best[0]]][1]
+    return out
+
+
+def naive_v2_classify(queries: DataFrame, p: DataFrame, k: int = 15, psize_max: int = 20, iters: int = 100, least: float = 0.8) -> DataFrame:
+    """(seq_id, lineage) by `won` over the k-mers found in fewer than psize_max taxa; Unclassified without one.  A task holds one read at a time."""
+    useful = p.groupBy("kmer").agg(F.count("*").alias("psize"), F.sort_array(F.collect_list("lineage")).alias("lineages")).where(F.col("psize") < psize_max)
+    q = queries.select("seq_id", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("seq_id", "kmer").agg(F.count("*").alias("n"))
 
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("kmer")
+        return pd.DataFrame({"seq_id": f["seq_id"].iloc[:1], "lineage": [won(f["kmer"].tolist(), f["n"].to_numpy(), [list(x) for x in f["lineages"]], iters, least)]})
 
-def descend(top: DataFrame, least: float = 0.6) -> DataFrame:
-    """The deepest prefix whose level and all above reach the share; Unclassified without one."""
-    bad = F.min(F.when(F.col("share") < least, F.col("level")))
-    first = top.groupBy("seq_id").agg(F.coalesce(bad, F.lit(99)).alias("stop"))
-    best = top.join(first, "seq_id").groupBy("seq_id").agg(F.max_by(F.when(F.col("level") < F.col("stop"), F.col("prefix")), F.when(F.col("level") < F.col("stop"), F.col("level"))).alias("lineage"))
-    return best.select("seq_id", F.coalesce("lineage", F.lit(L.NONE)).alias("lineage"))
+    got = q.join(useful, "kmer").select("seq_id", "kmer", "n", "lineages").groupBy("seq_id").applyInPandas(run, f"seq_id {dict(queries.dtypes)['seq_id']}, lineage string")
+    return queries.select("seq_id").join(got, "seq_id", "left").select("seq_id", F.coalesce("lineage", F.lit(L.NONE)).alias("lineage"))
 
 
 def kraken_classify(queries: DataFrame, index: DataFrame, k: int = 15, noise: float = 0.005, phylum_share: float = 0.55, rank_share: float = 0.3) -> DataFrame:
@@ -208,7 +233,7 @@ def fallback(assigned: DataFrame, hits: DataFrame, taxonomy: DataFrame, least: f
 
 #: Classifiers by name; one without an implementation is a clear error.
 def classifier(name: str):
-    known = {"wang": wang_classify, "naive-v2": prefix_votes, "kraken-lite": kraken_classify, "flat": flat_classify}
+    known = {"wang": wang_classify, "naive-v2": naive_v2_classify, "kraken-lite": kraken_classify, "flat": flat_classify}
     if name not in known:
         raise ValueError(f"no classifier {name!r}; there are {', '.join(sorted(known))}")
     return known[name]

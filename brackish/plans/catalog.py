@@ -366,7 +366,7 @@ def _(s, d):
 
 @query("cls7_naive_v2_classify")
 def _(s, d):
-    return classify.descend(classify.top_prefixes(classify.prefix_votes(V.texts(s, d), classify.postings(V.refs(s, d, V.texts)))))
+    return classify.naive_v2_classify(V.texts(s, d), classify.postings(V.refs(s, d, V.texts)))
 
 
 @query("cls10_flat_classify")
