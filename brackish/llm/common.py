@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
+NULL_ID = -(2**63) + 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where none is configured."""
+    """The folder that all executors share.  Only a local master may go without: then it is a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="brackish-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -32,13 +36,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark).rstrip('/')}/brackish-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by `written` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_at)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def settle(spark: SparkSession) -> None:
+    """Lets the driver drop finished queries, so that Spark's cleaner removes their shuffle files now, not at the next full collection."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def column(name: str) -> Column:
+    """A column by its literal name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def row_key(id_col: Column, text: Column) -> list[Column]:
     """Two columns that name a row: rows equal in id and text share them, and share their fate."""
-    return [F.coalesce(id_col.cast("long"), F.lit(-(2**63) + 1)).alias("k_id"), F.xxhash64(id_col.isNull(), text).alias("k_th")]
+    return [F.coalesce(id_col.cast("long"), F.lit(NULL_ID)).alias("k_id"), F.xxhash64(id_col.isNull(), text).alias("k_th")]
