@@ -36,7 +36,7 @@ SIMILARITY = 0.8
 BUCKETS = 1 << 20
 CHUNK = 1 << 10
 #: Groups of at least so many sets with a word in common are first compared with their earliest one alone.  It decides on work, not on results.
-HUB_WORDS, HUB_LEAST = 3, 32
+HUB_WORDS, HUB_LEAST = 12, 32
 #: Places in the bitmap of wanted lines.
 WANTED = 1 << 25
 
@@ -115,7 +115,7 @@ def word_sets(docs: DataFrame, sizes: Sizes) -> DataFrame:
     # Rare words have the smallest numbers: 7 bits of commonness, then 56 of hash.
     level = lambda h: F.ascii(F.substring(scale, bucket(h).cast("int") + 1, F.lit(1)).cast("string"))
     number = lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    hashes = F.array_distinct(F.transform(F.array_remove(split(F.col("line")), ""), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(F.array_distinct(F.transform(split(F.col("line")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
     place = F.struct(F.when(F.col("k_id") == NULL_ID, F.lit(2**63 - 1)).otherwise(F.col("k_id")).alias("o"), "k_th", "pos", "k_id")
     sets = lines_of(docs).where(F.col("line").rlike(HAS_WORD)).select(place.alias("first"), F.sort_array(F.transform(hashes, number)).alias("t"))
     flip = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
