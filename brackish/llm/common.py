@@ -14,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 NULL_ID = -(2**63) + 1
+#: Places in a bitmap of keys: 1,024 rows of 4 KB at most, whatever the input.
+PLACES = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,3 +69,20 @@ def column(name: str) -> Column:
 def row_key(id_col: Column, text: Column) -> list[Column]:
     """Two columns that name a row: rows equal in id and text share them, and share their fate."""
     return [F.coalesce(id_col.cast("long"), F.lit(NULL_ID)).alias("k_id"), F.xxhash64(id_col.isNull(), text).alias("k_th")]
+
+
+def place_of(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PLACES)) + 1
+
+
+def bitmap(places: DataFrame, name: str) -> DataFrame:
+    """places: a column h of `place_of`.  -> (at, bits), small enough to broadcast by the bound of PLACES."""
+    return written(places.groupBy(F.bitmap_bucket_number("h").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")), name)
+
+
+def marked(rows: DataFrame, bits: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys' place is set: all whose keys are in the bitmap, and few others while it is sparse."""
+    h, names = place_of(*keys), rows.columns
+    byte = F.conv(F.hex(F.substring("bits", (F.shiftright(F.bitmap_bit_position(h), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    one = F.call_function("shiftright", byte, F.bitmap_bit_position(h).bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.withColumn("at", F.bitmap_bucket_number(h)).join(F.broadcast(bits), "at").where(one).select(*names)

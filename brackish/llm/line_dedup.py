@@ -30,15 +30,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP, HAS_WORD, NULL_ID, column, forget, row_key, settle, table, written
+from .common import GAP, HAS_WORD, NULL_ID, bitmap, column, forget, marked, place_of, row_key, settle, table, written
 
 SIMILARITY = 0.8
 BUCKETS = 1 << 20
 CHUNK = 1 << 10
 #: Groups of at least so many sets with a word in common are first compared with their earliest one alone.  It decides on work, not on results.
 HUB_WORDS, HUB_LEAST = 12, 32
-#: Places in the bitmap of wanted lines.
-WANTED = 1 << 25
 
 
 def split(text: Column) -> Column:
@@ -129,10 +127,6 @@ def known(w: Column) -> Column:
     return F.shiftrightunsigned(w, 56) > 0
 
 
-def bit_of(*cols: str) -> Column:
-    return F.pmod(F.xxhash64(*cols), F.lit(WANTED)) + 1
-
-
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, sizes: Sizes, name: str) -> DataFrame:
     """Links (g of the later set, later, earlier) of the candidate pairs (g_a, g_b), as places."""
     pairs = written(pairs.distinct(), f"{name}-pairs")
@@ -143,13 +137,9 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, sizes: Sizes, n
     either = lambda when, x, y: F.when(when, F.col(x)).otherwise(F.col(y))
     placed = written(placed.select(either(late, "g_a", "g_b").alias("g"), either(late, "first_a", "first_b").alias("later"), either(late, "first_b", "first_a").alias("earlier")), f"{name}-placed")
     keys = ["k_id", "k_th", "pos"]
-    ends = placed.select(F.explode(F.array("later", "earlier")).alias("x")).select(bit_of(*[f"x.{k}" for k in keys]).alias("h"))
-    bitmap = ends.groupBy(F.bitmap_bucket_number("h").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
-    bitmap = written(bitmap, f"{name}-wanted")  # at most WANTED / 32768 rows of 4 KB, so it can be broadcast
-    h = bit_of(*keys)
-    byte = F.conv(F.hex(F.substring("bits", (F.shiftright(F.bitmap_bit_position(h), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    wanted = lines_of(docs).withColumn("at", F.bitmap_bucket_number(h)).join(F.broadcast(bitmap), "at")
-    wanted = wanted.where(F.call_function("shiftright", byte, F.bitmap_bit_position(h).bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    ends = placed.select(F.explode(F.array("later", "earlier")).alias("x")).select(place_of(*[f"x.{k}" for k in keys]).alias("h"))
+    bits = bitmap(ends, f"{name}-wanted")
+    wanted = marked(lines_of(docs), bits, *keys)
     lines = wanted.groupBy(*keys).agg(F.first("line").alias("line"))
     text = lambda x: lines.select(*[F.col(k).alias(f"{x}_{k}") for k in keys], F.col("line").alias(f"{x}_line"))
     same = lambda x: [F.col(f"{x}.{k}") == F.col(f"{x[0]}_{k}") for k in keys]
@@ -158,7 +148,7 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, sizes: Sizes, n
     enough = lambda x: F.size(F.array_intersect(x["e"], x["l"])) >= sizes.need(F.size(x["e"]) + F.size(x["l"]))
     links = both.select("g", "later", "earlier", F.explode(F.transform(F.array(F.struct(words(F.col("e_line")).alias("e"), words(F.col("l_line")).alias("l"))), enough)).alias("ok")).where("ok").drop("ok")
     links = written(links, f"{name}-links")
-    forget(pairs, placed, bitmap)
+    forget(pairs, placed, bits)
     settle(docs.sparkSession)
     return links
 
