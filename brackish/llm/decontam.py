@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
-from .common import table
+from .common import column, settle, table
 
 Q = 12
 EDIT_RATE = 0.05
@@ -206,19 +205,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, rate: float = ED
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs without the rows that hold an item."""
-    at = docs.columns.index("text")
-    out = docs
+    out = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"), F.lit(True).alias("clean"))
+    schema = out.schema
     for items in blocks(benchmark, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             index = Index(items, q, rate)
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
-                keep[[g[0] for g in matches(b.column(at).to_pylist(), index)]] = False
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keep)], [*b.schema.names, "_clean"])
+                keep[[g[0] for g in matches(b.column(1).to_pylist(), index)]] = False
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keep)], ["row", "text", "clean"])
 
-        out = out.mapInArrow(run, StructType([*docs.schema.fields, StructField("_clean", BooleanType())])).where("_clean").drop("_clean")
-    return out
+        out = out.mapInArrow(run, schema).where("clean")
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,4 +225,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settle(spark)
     return clean(docs, table(spark, sf_dir, "benchmark"))

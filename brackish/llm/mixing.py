@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, table, written
+from .common import column, n_words, table, written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -53,14 +53,14 @@ def targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -
 
 def plan(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, max_epochs=MAX_EPOCHS, seed=SEED, carry: list[str] = ()) -> DataFrame:
     """One row a document: id, size, source_size, target, copies, taken, and the carried columns as a struct `row`."""
-    size = n_words(F.col(text_col))
+    size = n_words(column(text_col))
     bits = F.length(F.bin("size"))
     rows = (
         docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.coalesce(F.concat(F.lit("0"), F.col(source_col).cast("string")), F.lit("1")).alias("src"),
+            column(id_col).alias("doc_id"),
+            F.coalesce(F.concat(F.lit("0"), column(source_col).cast("string")), F.lit("1")).alias("src"),
             size.alias("size"),
-            *([F.struct(*[F.col(c) for c in carry]).alias("row")] if carry else []),
+            *([F.struct(*[column(c) for c in carry]).alias("row")] if carry else []),
         )
         .withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
         .withColumn("bin", (bits * 16 + F.expr("shiftright(size * 8, length(bin(size)) - 1)")).cast("int"))
@@ -84,10 +84,10 @@ def plan(docs: DataFrame, *, id_col="doc_id", text_col="text", source_col="sourc
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: every document's row once for each copy, with `mix_copy` counting from 1 (it replaces an input column of that name)."""
-    names = [c for c in docs.columns if c != "mix_copy"]
-    out = plan(docs.select(*names), carry=names, **options)
-    return out.where("copies > 0").select("row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("mix_copy"))
+    """The mixed corpus: every document's row once for each copy, with `mix_copy` counting from 1 (it replaces an input column of that name in any case)."""
+    names = [c for c in docs.columns if c.lower() != "mix_copy"]
+    out = plan(docs.select(*[column(c) for c in names]), carry=names, **options)
+    return out.where("copies > 0").select(*[F.col("row")[c].alias(c) for c in names], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("mix_copy"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

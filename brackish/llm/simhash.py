@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, bitmap, column, forget, marked, place_of, row_key, table, written
+from .common import NULL_ID, bitmap, column, forget, marked, place_of, row_key, settle, table, written
 from .components import stars
 
 SHINGLE = 3
@@ -277,6 +277,7 @@ def similar(docs: DataFrame) -> DataFrame:
     first = verified(written(candidates(nodes.withColumn("label", F.col("node")), True).distinct(), "wide-forest"), texts)
     # A forest's link that fails may stand for one that holds, so what the links of the forest leave apart is compared once more, pair by pair.
     roots = stars(first)
+    settle(docs.sparkSession)
     labelled = written(nodes.join(roots.select(F.col("u").alias("node"), "root"), "node", "left").select("node", F.coalesce("root", "node").alias("label"), "n", "fp"), "wide-labelled")
     return first.union(verified(written(candidates(labelled, False).distinct(), "wide-pairs"), texts))
 
@@ -308,6 +309,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     side = lambda x: held.select(F.col("node").alias(x), F.col("s").alias(f"s_{x}"))
     links = written(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "s_u", "s_v").mapInArrow(judge, "u long, v long"), "wide-links")
     forget(held, bits, pairs)
+    settle(texts.sparkSession)
     return links
 
 
@@ -351,4 +353,5 @@ def keep_similar(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    settle(spark)
     return keep_similar(docs)

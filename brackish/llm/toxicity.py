@@ -9,7 +9,7 @@ The label table knows toxic or not.  Grades are 0 for clean and, for toxic docum
 chosen features they show, split at the median of the toxic sample (the median itself: grade 1).  Labels that have grades already are used as they are.
 
 Edge cases: a null or empty text has no features and the intercepts' low score; null labels and unknown ids are ignored;
-an id labelled twice has its highest grade; with no toxic labels every score is 0 and nothing is rejected.  Extra columns are ignored by `score`.
+an id labelled twice has its highest grade, and of several texts with one id the fit sees that of the least hash; with no toxic labels every score is 0 and nothing is rejected.  Extra columns are ignored by `score`.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from .common import table, written
+from .common import column, settle, table, written
 
 FIT_ROWS = 12_000
 STARTS = (4, 5, 6)
@@ -103,8 +103,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, chosen: np.ndarray, l2: floa
     for i, f in enumerate(rows):
         at = np.searchsorted(order, f)
         hit = at[(at < len(order)) & (order[np.minimum(at, len(order) - 1)] == f)]
-        r.append(np.full(len(hit), i))
-        c.append(hit)
+        r.append(np.full(len(hit), i, np.int32))
+        c.append(hit.astype(np.int32))
     r, c = np.concatenate(r), np.concatenate(c)
     n, d = len(rows), len(order)
     above = (grades[:, None] > np.arange(steps)).astype(float)
@@ -148,7 +148,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_row
             got = [np.array(sorted(text_features(t, memo)), "<u4").tobytes() for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["doc_id", "y", "f"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
     got = texts.mapInArrow(run, "doc_id long, y int, f binary").toArrow().sort_by("doc_id")
     return [np.frombuffer(f.as_buffer(), "<u4") for f in got["f"]], got["y"].to_numpy().astype(np.int64)
 
@@ -164,23 +164,28 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fit_rows
 NAMES = ["expected_severity", "toxic_probability", "severity_grade", "rejected"]
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", reject_at: float = REJECT_AT) -> DataFrame:
-    """docs with the columns of NAMES, which replace input columns of the same names."""
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in NAMES])
-    at = docs.columns.index(text_col)
+def graded(docs: DataFrame, model: Model, text_col: str = "text", reject_at: float = REJECT_AT) -> DataFrame:
+    """`row` (docs' columns) and the columns of NAMES."""
+    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), column(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, tuple[int, ...]] = {}
         known = lambda w: tuple(f for f in word_features(w) if f in model.weights)
         for b in batches:
-            above = [model.above(text_features(t, memo, known)) for t in b.column(at).to_pylist()]
+            above = [model.above(text_features(t, memo, known)) for t in b.column(1).to_pylist()]
             p = [a[0] if a else 0.0 for a in above]
             new = [pa.array([float(sum(a)) for a in above], pa.float64()), pa.array(p, pa.float64()), pa.array([sum(x >= 0.5 for x in a) for a in above], pa.int32()), pa.array([x >= reject_at for x in p], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, *NAMES])
+            yield pa.RecordBatch.from_arrays([b.column(0), *new], ["row", *NAMES])
 
     kinds = (DoubleType(), DoubleType(), IntegerType(), BooleanType())
-    schema = StructType([*docs.schema.fields, *(StructField(n, k) for n, k in zip(NAMES, kinds, strict=True))])
-    return docs.mapInArrow(run, schema)
+    schema = StructType([rows.schema["row"], *(StructField(n, k) for n, k in zip(NAMES, kinds, strict=True))])
+    return rows.mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", reject_at: float = REJECT_AT) -> DataFrame:
+    """docs with the columns of NAMES, which replace input columns of the same names."""
+    kept = [c for c in docs.columns if c.lower() not in NAMES]
+    return graded(docs, model, text_col, reject_at).select(*[F.col("row")[c].alias(c) for c in kept], *NAMES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,4 +196,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without those rejected.  The fit sees labelled rows of docs."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model).where("not rejected").select(*docs.columns)
+    settle(spark)
+    return graded(docs, model).where("not rejected").select(*[F.col("row")[c].alias(c) for c in docs.columns])
