@@ -1,4 +1,7 @@
-"""From raw documents to a training mix: each stage reads what the one before it kept."""
+"""From raw documents to a training mix: each stage reads what the one before it kept.
+
+Nulls, empty texts, repeated rows and clashing or dotted column names are treated as each stage's operator says; an empty table stays empty through all stages.
+All stages but the last return the columns of documents; the last adds mix_copy."""
 
 from __future__ import annotations
 
@@ -7,11 +10,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from brackish.llm import decontam, line_dedup, mixing, simhash, toxicity
-from brackish.llm.common import scratch
+from brackish.llm.common import scratch, settle
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once for each copy, numbered by mix_copy."""
+    settle(spark)
     return mixing.mix(docs)
 
 
@@ -23,7 +27,7 @@ STAGES = [
     ("mixing", mix),
 ]
 
-#: The toxicity model and the SimHash components are beyond SQL; tests/llm checks the stages by brute force.
+#: The toxicity model and the SimHash components are beyond SQL; tests/llm checks line dedup, near dedup, decontamination and mixing by brute force, toxicity on labels.
 ORACLE_SQL = None
 
 
