@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -64,7 +65,7 @@ def rarefied(counts: DataFrame, depth: int, replicates: int = 1, seed: int = 42)
         n = f["count"].to_numpy(np.int64)
         out = []
         if n.sum() >= depth:
-            tag = int.from_bytes(str(key[0]).encode()[:7], "big")
+            tag = int.from_bytes(hashlib.blake2b(str(key[0]).encode(), digest_size=8).digest(), "big")
             for r in range(replicates):
                 got = np.random.default_rng([seed, r, tag]).multivariate_hypergeometric(n, depth, method="marginals")
                 out.append(pd.DataFrame({"sample": key[0], "replicate": r, "feature_id": f["feature_id"].to_numpy()[got > 0], "count": got[got > 0]}))

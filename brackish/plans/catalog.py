@@ -38,14 +38,14 @@ KM = "CASE WHEN length({0}) >= {1} THEN list_transform(range(1, length({0}) - {1
 @query("seq1_merge_reads")
 def _(s, d):
     """Mates cut from a contig with 60 bases of overlap come together again."""
-    r = V.reads(s, d).where(F.length("seq") == 250)
-    pairs = r.select("sample", F.col("seq_id").alias("read_id"), F.substring("seq", 1, 155).alias("seq1"), F.repeat(F.lit("I"), 155).alias("qual1"), S.reverse_complement(F.substring("seq", 96, 155)).alias("seq2"), F.repeat(F.lit("H"), 155).alias("qual2"))
+    r = V.pieces(s, d)
+    pairs = r.select("sample", F.col("seq_id").alias("read_id"), F.substring("seq", 1, 155).alias("seq1"), F.expr("repeat('I', least(length(seq), 155))").alias("qual1"), S.reverse_complement(F.expr("right(seq, 155)")).alias("seq2"), F.expr("repeat('H', least(length(seq), 155))").alias("qual2"))
     return search.merge_stats(search.merge_reads(pairs))
 
 
 @query("seq3_primer_trim")
 def _(s, d):
-    r = V.texts(s, d).where(F.length("seq") >= 200).withColumn("seq", F.concat(F.lit("TTCCTACGGGNGGCWGCAG"), F.col("seq"), F.lit("GGATTAGATACCCBDGTAGTCAA")))
+    r = V.reads(s, d).where(F.length("seq") >= 200).withColumn("seq", F.concat(F.lit("TTCCTACGGGNGGCWGCAG"), F.col("seq"), F.lit("GGATTAGATACCCBDGTAGTCAA")))
     return search.trim_primers(r, "CCTACGGGNGGCWGCAG", "GACTACHVGGGTATCTAATCC").select("seq_id", F.length("seq").alias("n"))
 
 
@@ -88,10 +88,10 @@ def _(s, d):
 
 # --- alignments --------------------------------------------------------------------------------------------------
 def _aligned(s, d):
-    return V.reads(s, d).where(F.length("seq") == 250).select("seq_id", F.translate("seq", "T", "-").alias("aln"))
+    return V.pieces(s, d).select("seq_id", F.rpad(F.translate("seq", "T", "-"), 250, "-").alias("aln"))
 
 
-ALN = f"{V.READS}, aln AS (SELECT seq_id, translate(seq, 'T', '-') AS aln FROM reads WHERE length(seq) = 250)"
+ALN = f"{V.PIECES}, aln AS (SELECT seq_id, rpad(translate(seq, 'T', '-'), 250, '-') AS aln FROM pieces)"
 
 
 @query("msa2_column_profile", f"WITH {ALN}, c AS (SELECT i - 1 AS pos, substr(aln, i, 1) AS b FROM aln, range(1, 251) t(i)) SELECT pos, count(*) AS n, round(avg((b = '-')::INT), 6) AS gap_share, round(avg((b IN ('A','C','G','T'))::INT), 6) AS acgt_share FROM c GROUP BY pos")
@@ -139,24 +139,24 @@ def _(s, d):
 @query("aln6_best_hits")
 def _(s, d):
     """Query set: every id divisible by 50, against all references."""
-    return search.best_hits(V.texts(s, d).where("seq_id % 50 = 0"), V.refs(s, d, V.texts))
+    return search.best_hits(V.reads(s, d).where("seq_id % 50 = 0"), V.refs(s, d))
 
 
 @query("clu1_greedy_clusters")
 def _(s, d):
-    seqs = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
+    seqs = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
     return search.cluster(seqs, 0.97)
 
 
 @query("pcl1_precluster")
 def _(s, d):
-    seqs = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
+    seqs = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq").agg(F.min("seq_id").alias("seq_id"))
     return search.precluster(seqs)
 
 
 @query("chm2_chimeras_per_sample")
 def _(s, d):
-    u = V.texts(s, d).where(F.length("seq") >= 100).groupBy("seq", "sample").agg(F.min("seq_id").alias("seq_id"), F.count("*").alias("size"))
+    u = V.reads(s, d).where(F.length("seq") >= 100).groupBy("seq", "sample").agg(F.min("seq_id").alias("seq_id"), F.count("*").alias("size"))
     return search.chimeras(u)
 
 
@@ -222,9 +222,11 @@ def _(s, d):
     return counts.summary(V.reads(s, d))
 
 
-@query("agg13_genus_resolution", f"WITH {V.COUNTS}, {V.TAX}, p AS (SELECT feature_id, sum(count)::BIGINT AS reads FROM counts GROUP BY 1), c AS (SELECT reads, lineage[5] AS g FROM p LEFT JOIN tax USING (feature_id)), k AS (SELECT CASE WHEN g IS NULL THEN 'Unclassified' ELSE 'Classified' END AS class, sum(reads)::BIGINT AS reads, count(*) AS features, count(DISTINCT g) AS genera FROM c GROUP BY 1) SELECT *, round((100.0 * reads / sum(reads) OVER ())::DOUBLE, 6) AS pct_reads, round((100.0 * features / sum(features) OVER ())::DOUBLE, 6) AS pct_features FROM k")
+@query("agg13_genus_resolution", f"WITH {V.COUNTS}, {V.TAX}, p AS (SELECT feature_id, sum(count)::BIGINT AS reads FROM counts GROUP BY 1), c AS (SELECT feature_id, reads, CASE WHEN feature_id % 7 = 3 THEN lineage[5] || ' environmental sample' ELSE lineage[5] END AS g FROM p LEFT JOIN tax USING (feature_id)), k AS (SELECT CASE WHEN coalesce(g, '') = '' THEN 'Unclassified' WHEN regexp_matches(g, '(?i)uncultured|unclassified|unidentified|incertae[ _]sedis|environmental|metagenome|unknown') THEN 'Ambiguous/propagated' ELSE 'Classified' END AS class, sum(reads)::BIGINT AS reads, count(*) AS features, count(DISTINCT g) AS genera FROM c GROUP BY 1) SELECT *, round((100.0 * reads / sum(reads) OVER ())::DOUBLE, 6) AS pct_reads, round((100.0 * features / sum(features) OVER ())::DOUBLE, 6) AS pct_features FROM k")
 def _(s, d):
     lin = V.taxonomy(s, d).withColumn("lineage", F.concat(F.array(F.lit("Root")), "lineage"))
+    odd = F.concat(F.slice("lineage", 1, 5), F.array(F.concat(F.element_at("lineage", -1), F.lit(" environmental sample"))))
+    lin = lin.withColumn("lineage", F.when((F.col("feature_id") % 7 == 3) & (F.size("lineage") == 6), odd).otherwise(F.col("lineage")))
     return counts.genus_resolution(V.counts(s, d), lin).withColumns({c: r6(c) for c in ("pct_reads", "pct_features")})
 
 
@@ -315,14 +317,14 @@ def _(s, d):
     return V.reads(s, d).select("seq_id", F.size(S.words(F.col("seq"))).cast("long").alias("n_words"))
 
 
-@query("km3_minimizers", f"WITH {V.READS}, k AS (SELECT seq_id, unnest({KM.format('substr(seq, 1, 60)', 8)}) AS w FROM reads) SELECT seq_id, list_min(list_transform(range(1, 6), lambda i: substr(w, i, 4))) AS minimizer, count(*) AS n FROM k GROUP BY ALL")
+@query("km3_minimizers", f"WITH {V.READS}, k AS (SELECT seq_id, unnest({KM.format('seq', 8)}) AS w FROM reads) SELECT seq_id, list_min(list_transform(range(1, 6), lambda i: substr(w, i, 4))) AS minimizer, count(*) AS n FROM k GROUP BY ALL")
 def _(s, d):
-    return V.reads(s, d).select("seq_id", F.explode(S.minimizers(F.substring("seq", 1, 60))).alias("minimizer")).groupBy("seq_id", "minimizer").agg(F.count("*").alias("n"))
+    return V.reads(s, d).select("seq_id", F.explode(S.minimizers(F.col("seq"))).alias("minimizer")).groupBy("seq_id", "minimizer").agg(F.count("*").alias("n"))
 
 
-@query("km4_encode", f"WITH {V.READS} SELECT seq_id, list_sum(list_transform(range(1, 13), lambda i: (strpos('ACGT', substr(seq, i, 1)) - 1) * (4 ** (12 - i))::BIGINT))::BIGINT AS code FROM reads WHERE length(seq) >= 12")
+@query("km4_encode", f"WITH {V.READS}, k AS (SELECT seq_id, unnest({KM.format('seq', 12)}) AS w FROM reads) SELECT seq_id, count(*) AS n, sum(list_sum(list_transform(range(1, 13), lambda i: (strpos('ACGT', substr(w, i, 1)) - 1) * (4 ** (12 - i))::BIGINT)))::BIGINT AS codes FROM k GROUP BY 1")
 def _(s, d):
-    return V.reads(s, d).where(F.length("seq") >= 12).select("seq_id", S.encode(F.substring("seq", 1, 12)).alias("code"))
+    return V.reads(s, d).select("seq_id", F.explode(S.kmers(F.col("seq"), 12)).alias("w")).groupBy("seq_id").agg(F.count("*").alias("n"), F.sum(S.encode(F.col("w"))).cast("long").alias("codes"))
 
 
 @query("fn_lca", f"WITH {V.TAX}, g AS (SELECT feature_id % 40 AS g, lineage FROM tax), k AS (SELECT g, " + ", ".join(f"min(coalesce(lineage[{i}], '')) = max(coalesce(lineage[{i}], '')) AND min(len(lineage)) >= {i} AS s{i}, min(lineage[{i}]) AS l{i}" for i in range(1, 6)) + " FROM g GROUP BY 1) SELECT g, CASE WHEN NOT s1 THEN '' WHEN NOT s2 THEN l1 WHEN NOT s3 THEN concat_ws(';', l1, l2) WHEN NOT s4 THEN concat_ws(';', l1, l2, l3) WHEN NOT s5 THEN concat_ws(';', l1, l2, l3, l4) ELSE concat_ws(';', l1, l2, l3, l4, l5) END AS lca FROM k")
@@ -352,7 +354,7 @@ def _(s, d):
 
 @query("cls4_wang_bootstrap")
 def _(s, d):
-    return classify.truncated(classify.wang_classify(V.texts(s, d), *classify.wang_train(V.refs(s, d, V.texts))))
+    return classify.truncated(classify.wang_classify(V.reads(s, d), *classify.wang_train(V.refs(s, d))))
 
 
 VOTES = f"{V.REFS}, p AS (SELECT kmer, lineage, count(*) AS n FROM (SELECT lineage, unnest({KM.format('seq', 15)}) AS kmer FROM refs) GROUP BY ALL), z AS (SELECT kmer, count(*) AS psize FROM p GROUP BY 1 HAVING count(*) < 20), q AS (SELECT seq_id, kmer, count(*) AS n FROM (SELECT seq_id, unnest({KM.format('seq', 15)}) AS kmer FROM reads) GROUP BY ALL)"
@@ -366,12 +368,12 @@ def _(s, d):
 
 @query("cls7_naive_v2_classify")
 def _(s, d):
-    return classify.naive_v2_classify(V.texts(s, d), classify.postings(V.refs(s, d, V.texts)))
+    return classify.naive_v2_classify(V.reads(s, d), classify.postings(V.refs(s, d)))
 
 
 @query("cls10_flat_classify")
 def _(s, d):
-    return classify.flat_classify(V.texts(s, d), classify.flat_train(V.refs(s, d, V.texts))).withColumn("score", r6("score"))
+    return classify.flat_classify(V.reads(s, d), classify.flat_train(V.refs(s, d))).withColumn("score", r6("score"))
 
 
 @query("cls11_flat_train", f"WITH {V.REFS}, c AS (SELECT lineage, kmer, count(*) AS c FROM (SELECT lineage, unnest({KM.format('seq', 10)}) AS kmer FROM refs) GROUP BY ALL), t AS (SELECT lineage, sum(c) AS t FROM c GROUP BY 1) SELECT kmer, lineage, round((c + 1) / (t + (SELECT count(DISTINCT kmer) FROM c)), 9) AS p FROM c JOIN t USING (lineage)")
@@ -381,9 +383,9 @@ def _(s, d):
 
 @query("cls13_kraken_classify")
 def _(s, d):
-    refs = V.refs(s, d, V.texts)
+    refs = V.refs(s, d)
     p = classify.postings(refs)
-    return classify.kraken_classify(V.texts(s, d), classify.kraken_index(p, refs.count()))
+    return classify.kraken_classify(V.reads(s, d), classify.kraken_index(p, refs.count()))
 
 
 @query("idx1_kraken_index", f"WITH {V.REFS}, p AS (SELECT kmer, lineage, count(*) AS n FROM (SELECT lineage, unnest({KM.format('seq', 15)}) AS kmer FROM refs) GROUP BY ALL), f AS (SELECT kmer, count(*) AS df, count(DISTINCT string_split(lineage, ';')[2]) AS pf FROM p GROUP BY 1) SELECT kmer, lineage, round(n * (ln((SELECT count(*) FROM refs) / df) + 1) * (ln((SELECT count(DISTINCT string_split(lineage, ';')[2]) FROM p) / pf) + 1), 6) AS weight FROM p JOIN f USING (kmer)")
@@ -394,7 +396,7 @@ def _(s, d):
 
 @query("idx4_kmer_lca")
 def _(s, d):
-    return classify.kmer_lca(classify.postings(V.refs(s, d, V.texts), 12)).select("kmer", F.array_join("lca", ";").alias("lca"))
+    return classify.kmer_lca(classify.postings(V.refs(s, d), 12)).select("kmer", F.array_join("lca", ";").alias("lca"))
 
 
 @query("cls18_alignment_fallback", f"WITH {V.TAX}, r AS (SELECT feature_id AS ref_id, lineage AS rl FROM tax WHERE len(lineage) >= 5), j AS (SELECT t.feature_id, t.lineage, r.rl, 0.9 + (t.feature_id % 10) / 100.0 AS identity FROM tax t LEFT JOIN r ON r.ref_id = t.feature_id - t.feature_id % 5 + 4) SELECT feature_id, array_to_string(CASE WHEN len(lineage) < 5 AND identity >= 0.94 AND rl IS NOT NULL THEN list_slice(rl, 1, 5) ELSE lineage END, ';') AS lineage, (len(lineage) < 5 AND identity >= 0.94 AND rl IS NOT NULL) AS replaced FROM j")

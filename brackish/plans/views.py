@@ -12,22 +12,24 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def texts(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts; what queries without SQL read."""
+def reads(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts as sequences."""
     seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), ALPHABET, DNA)
     return table(spark, d, "documents").select(F.col("doc_id").alias("seq_id"), F.col("source").alias("sample"), seq.alias("seq"))
 
 
-def reads(spark: SparkSession, d: str) -> DataFrame:
-    """The first 250 letters, as READS has them; only for queries that its SQL checks and alignments of equal length."""
-    return texts(spark, d).withColumn("seq", F.substring("seq", 1, 250))
+def pieces(spark: SparkSession, d: str, size: int = 250) -> DataFrame:
+    """Whole texts in pieces of `size` letters, the last one shorter; for operators that take reads of one length."""
+    r = reads(spark, d).where(F.length("seq") > 0)
+    at = r.select("sample", "seq_id", "seq", F.explode(F.sequence(F.lit(0), F.floor((F.length("seq") - 1) / size).cast("int"))).alias("i"))
+    return at.select((F.col("seq_id") * 1_000_000 + F.col("i")).alias("seq_id"), "sample", F.substring("seq", F.col("i") * size + 1, F.lit(size)).alias("seq"))
 
 
-def refs(spark: SparkSession, d: str, of=reads) -> DataFrame:
+def refs(spark: SparkSession, d: str) -> DataFrame:
     docs, labels = table(spark, d, "documents").select("doc_id", "lang", "source"), table(spark, d, "labels")
     lin = F.concat(F.lit("Root;"), F.col("lang"), F.lit(";"), F.col("source"), F.lit(";q"), F.col("quality").cast("string"))
     tax = docs.join(labels, "doc_id").select(F.col("doc_id").alias("seq_id"), lin.alias("lineage"))
-    return of(spark, d).join(tax, "seq_id")
+    return reads(spark, d).join(tax, "seq_id")
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
@@ -47,7 +49,8 @@ def metadata(spark: SparkSession, d: str) -> DataFrame:
     return counts(spark, d).select("sample").distinct().withColumn("site", F.when(F.substring("sample", 2, 9).cast("int") % 2 == 0, "nose").otherwise("pharynx"))
 
 
-READS = f"reads AS (SELECT doc_id AS seq_id, source AS sample, substr(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{ALPHABET}', '{DNA}'), 1, 250) AS seq FROM documents)"
+READS = f"reads AS (SELECT doc_id AS seq_id, source AS sample, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{ALPHABET}', '{DNA}') AS seq FROM documents)"
+PIECES = READS + ", pieces AS (SELECT seq_id * 1000000 + i AS seq_id, substr(seq, i * 250 + 1, 250) AS seq FROM (SELECT seq_id, seq, unnest(range(0, (length(seq) + 249) // 250)) AS i FROM reads))"
 REFS = READS + ", refs AS (SELECT r.seq_id, r.sample, r.seq, concat('Root;', d.lang, ';', d.source, ';q', l.quality) AS lineage FROM reads r JOIN documents d ON d.doc_id = r.seq_id JOIN labels l ON l.doc_id = r.seq_id)"
 COUNTS = "counts AS (SELECT l_partkey AS feature_id, concat('S', l_suppkey % 12) AS sample, CAST(sum(l_quantity) AS BIGINT) AS count FROM lineitem GROUP BY ALL)"
 TAX = "tax AS (SELECT p_partkey AS feature_id, list_slice(['Bacteria', p_type, p_brand, concat('size', p_size), p_name], 1, 1 + p_partkey % 5) AS lineage FROM part)"
