@@ -2,7 +2,7 @@
 
 A page is read as a flat sequence of blocks: text between block-level tags.  Each block has its word count
 and link density, those of the blocks before and after it, and whether an enclosing element is marked as
-page furniture or as article.  A decision tree (Gini, trained on the labelled table below when the job starts)
+page furniture (by its kind, or by a name if it is only a part of the page) or as article.  A decision tree (Gini, trained on the labelled table below when the job starts)
 keeps or drops each block; the kept ones are joined by newlines in page order.
 
 Edge cases: a null or empty html gives an empty text; scripts, styles, comments and other unseen elements give no
@@ -31,6 +31,8 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 #: Elements whose end a block may be waiting for; the others need no place on the stack.
 NESTING = BLOCK - {"p", "hr", "li", "dd", "dt", "option", "tr", "td", "th", "thead", "tbody", "tfoot", "html", "body", "head"} | {"body", "a", "label"}
 FURNITURE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "search", "label"}
+#: Elements that may also wrap a whole page, so they count as a name does.
+WRAPPERS = {"form", "fieldset", "label"}
 FURNITURE = set("ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright disclaimer discussion disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promotion recommended recommendations related replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored sponsors subscribe subscription tags toolbar topbar toc widget widgets".split())
 FURNITURE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu", "menubar"}
 ARTICLE = set("article content post entry story main body text".split())
@@ -52,6 +54,9 @@ LABELLED = [
     (25, 0.8, 3, 1.0, 20, 0.7, 0, 0, 0), (40, 0.9, 50, 0.0, 30, 0.9, 0, 0, 0), (12, 0.6, 10, 0.6, 14, 0.7, 0, 0, 0), (8, 0.5, 5, 1.0, 4, 1.0, 0, 0, 0),
     (5, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (300, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (300, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
     (2, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0), (3, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0), (1, 1.0, 1, 1.0, 8, 0.0, 0, 0, 0), (4, 0.9, 60, 0.0, 70, 0.0, 0, 0, 0),
+    (110, 0.0, 120, 0.0, 3, 0.0, 0, 0, 1), (60, 0.0, 90, 0.0, 2, 1.0, 0, 0, 1), (45, 0.0, 50, 0.0, 0, 0.0, 0, 0, 1), (4, 0.0, 1, 1.0, 120, 0.0, 0, 0, 1),
+    (6, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1), (90, 0.0, 5, 0.0, 110, 0.0, 0, 0, 1), (70, 0.1, 80, 0.0, 4, 0.5, 0, 0, 1), (130, 0.0, 6, 0.0, 1, 1.0, 0, 0, 1),
+    (5, 0.8, 110, 0.0, 0, 0.0, 0, 0, 0), (4, 1.0, 90, 0.0, 0, 0.0, 0, 0, 0), (8, 0.7, 60, 0.0, 3, 1.0, 0, 0, 0), (3, 1.0, 120, 0.0, 5, 0.0, 0, 0, 0),
     (14, 0.0, 70, 0.0, 5, 0.0, 1, 1, 0), (70, 0.0, 90, 0.0, 60, 0.0, 1, 1, 0), (3, 1.0, 90, 0.0, 60, 0.0, 1, 1, 0), (10, 0.0, 40, 0.0, 90, 0.0, 1, 1, 0),
 ]
 
@@ -97,10 +102,10 @@ def predict(tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def marks(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """(page furniture, article) as an element's name and attributes say."""
-    furniture = tag in FURNITURE_TAGS or tag == "header" and not inside_article
-    article = tag in ("article", "main")
+def marks(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """(page furniture by its kind, page furniture by its name, article) as an element's tag and attributes say."""
+    furniture = tag in FURNITURE_TAGS - WRAPPERS or tag == "header" and not inside_article
+    named, article = tag in WRAPPERS, tag in ("article", "main")
     if attributes:
         if HIDDEN.search(attributes):
             furniture = True
@@ -108,26 +113,34 @@ def marks(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
             value = (m[1] or m[2] or m[3] or "").lower()
             names = set(PARTS.findall(value))
             if tag not in ("article", "main", "body", "html") and (names & FURNITURE or value in FURNITURE_ROLES):
-                furniture = True
+                named = True
             article = article or tag in ("div", "section") and bool(names & ARTICLE)
-    return furniture, article
+    return furniture, named, article
 
 
 def blocks(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, linked words, furniture, article) of every text block, in page order."""
-    page, out = page or "", []
+    """(text, words, linked words, furniture, article) of every text block, in page order.
+
+    A name marks an element as furniture only if it is a part of the page: not if the element holds the page's main element or first heading, or over half of all words
+    (a wrapper called after the sidebar that it also holds, a form round the whole page)."""
+    page, found = page or "", []
     pieces: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, tuple[int, ...], bool]] = []
     furniture = article = False
-    links = 0
+    named: tuple[int, ...] = ()
+    whole: list[bool] = []  # of every named element: whether it holds the main element or first heading
+    held: list[int] = []  # and its words
+    links, headings = 0, 0
 
     def flush():
         if pieces:
             words = html.unescape("".join(pieces)).split()
             if words:
                 n = len(words)
-                out.append((" ".join(words), n, min(n, len(html.unescape(" ".join(linked)).split())), furniture, article))
+                found.append((" ".join(words), n, min(n, len(html.unescape(" ".join(linked)).split())), furniture, named, article))
+                for e in named:
+                    held[e] += n
             pieces.clear()
             linked.clear()
 
@@ -169,12 +182,24 @@ def blocks(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
                     del stack[i:]
                     break
         else:
-            f, a = marks(tag, m[3], article)
-            stack.append((tag, furniture or f, article or a))
-        furniture, article = stack[-1][1:] if stack else (False, False)
+            f, by_name, a = marks(tag, m[3], article)
+            first = tag == "h1" and not furniture and not headings
+            headings += first
+            if tag == "main" or first:
+                for e in named:
+                    whole[e] = True
+            inner = named
+            if by_name:
+                inner = (*named, len(whole))
+                whole.append(False)
+                held.append(0)
+            stack.append((tag, furniture or f, inner, article or a))
+        furniture, named, article = stack[-1][1:] if stack else (False, (), False)
         links = sum(s[0] == "a" for s in stack)
     flush()
-    return out
+    half = sum(b[1] for b in found) / 2
+    part = [not w and h <= half for w, h in zip(whole, held, strict=True)]
+    return [(text, n, linked_words, kind or any(part[e] for e in names), main) for text, n, linked_words, kind, names, main in found]
 
 
 def features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
