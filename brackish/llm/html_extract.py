@@ -52,10 +52,15 @@ LABELLED = [
     (7, 0.0, 50, 0.0, 60, 0.0, 0, 0, 1), (4, 0.0, 30, 0.0, 45, 0.0, 0, 0, 1), (6, 0.0, 3, 1.0, 60, 0.0, 0, 0, 1), (18, 0.0, 40, 0.0, 35, 0.0, 0, 0, 1),
     (5, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0), (4, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0), (3, 0.0, 1, 1.0, 2, 0.0, 0, 0, 0), (9, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0),
     (25, 0.8, 3, 1.0, 20, 0.7, 0, 0, 0), (40, 0.9, 50, 0.0, 30, 0.9, 0, 0, 0), (12, 0.6, 10, 0.6, 14, 0.7, 0, 0, 0), (8, 0.5, 5, 1.0, 4, 1.0, 0, 0, 0),
-    (5, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (300, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (300, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
+    (5, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (300, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (300, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1),
     (2, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0), (3, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0), (1, 1.0, 1, 1.0, 8, 0.0, 0, 0, 0), (4, 0.9, 60, 0.0, 70, 0.0, 0, 0, 0),
     (110, 0.0, 120, 0.0, 3, 0.0, 0, 0, 1), (60, 0.0, 90, 0.0, 2, 1.0, 0, 0, 1), (45, 0.0, 50, 0.0, 0, 0.0, 0, 0, 1), (4, 0.0, 1, 1.0, 120, 0.0, 0, 0, 1),
     (6, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1), (90, 0.0, 5, 0.0, 110, 0.0, 0, 0, 1), (70, 0.1, 80, 0.0, 4, 0.5, 0, 0, 1), (130, 0.0, 6, 0.0, 1, 1.0, 0, 0, 1),
+    (2, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0), (2, 0.0, 60, 0.0, 40, 0.0, 1, 0, 0), (2, 0.0, 50, 0.0, 1, 1.0, 1, 0, 0), (12, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0),
+    (12, 0.0, 60, 0.0, 40, 0.0, 1, 0, 0), (12, 0.0, 50, 0.0, 1, 1.0, 1, 0, 0), (45, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0), (45, 0.0, 60, 0.0, 40, 0.0, 1, 0, 0),
+    (45, 0.0, 50, 0.0, 1, 1.0, 1, 0, 0), (120, 0.0, 1, 1.0, 60, 0.0, 1, 0, 0), (120, 0.0, 60, 0.0, 40, 0.0, 1, 0, 0), (120, 0.0, 50, 0.0, 1, 1.0, 1, 0, 0),
+    (6, 0.0, 60, 0.0, 3, 1.0, 0, 1, 1), (10, 0.0, 8, 0.0, 2, 1.0, 0, 1, 1), (4, 0.0, 40, 0.0, 2, 0.0, 0, 1, 1), (15, 0.0, 30, 0.0, 1, 1.0, 0, 1, 1),
+    (2, 0.0, 12, 0.0, 2, 0.0, 0, 1, 1), (9, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1), (2, 0.0, 5, 0.0, 3, 0.0, 0, 1, 1), (1, 0.0, 1, 1.0, 2, 0.0, 0, 1, 1), (7, 0.0, 20, 0.0, 2, 1.0, 0, 1, 1),
     (5, 0.8, 110, 0.0, 0, 0.0, 0, 0, 0), (4, 1.0, 90, 0.0, 0, 0.0, 0, 0, 0), (8, 0.7, 60, 0.0, 3, 1.0, 0, 0, 0), (3, 1.0, 120, 0.0, 5, 0.0, 0, 0, 0),
     (14, 0.0, 70, 0.0, 5, 0.0, 1, 1, 0), (70, 0.0, 90, 0.0, 60, 0.0, 1, 1, 0), (3, 1.0, 90, 0.0, 60, 0.0, 1, 1, 0), (10, 0.0, 40, 0.0, 90, 0.0, 1, 1, 0),
 ]
