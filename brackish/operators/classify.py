@@ -190,21 +190,24 @@ def naive_v2_classify(queries: DataFrame, p: DataFrame, k: int = 15, psize_max:
     return queries.select("seq_id").join(got, "seq_id", "left").select("seq_id", F.coalesce("lineage", F.lit(L.NONE)).alias("lineage"))
 
 
-def kraken_classify(queries: DataFrame, index: DataFrame, k: int = 15, noise: float = 0.005, phylum_share: float = 0.55, rank_share: float = 0.3) -> DataFrame:
-    """Weighted votes by taxon (those under `noise` go); the winning phylum must have phylum_share; then the deepest of
-    genus, family, order and class with rank_share of that phylum's votes, else the phylum, else the shared beginning of the ten strongest."""
+def kraken_classify(queries: DataFrame, index: DataFrame, k: int = 15, noise: float = 0.005, phylum_share: float = 0.55, phylum_least: float = 0.25, rank_share: float = 0.3, rank_least: float = 0.2) -> DataFrame:
+    """Weighted votes by taxon (those under `noise` go).  With phylum_share of the votes, the winning phylum gives its deepest rank from genus to class whose winner
+    has rank_share of the votes that reach that rank, else the winner with the largest such share from rank_least on, else itself.  With phylum_least it is the
+    phylum itself, below that the shared beginning of the ten strongest taxa."""
     q = queries.select("seq_id", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer"))
     size = index.groupBy("kmer").agg(F.count("*").alias("postings"))
     votes = q.join(index, "kmer").join(size, "kmer").groupBy("seq_id", "lineage").agg(F.sum(F.col("weight") / F.col("postings")).alias("v"))
     w = Window.partitionBy("seq_id")
     votes = votes.withColumn("share", F.col("v") / F.sum("v").over(w)).where(F.col("share") >= noise).withColumn("names", L.parts(F.col("lineage")))
-    votes = votes.withColumn("phylum", F.array_join(F.slice("names", 1, 2), ";"))
-    per = votes.groupBy("seq_id", "phylum").agg(F.sum("v").alias("pv"))
-    best = per.withColumn("ps", F.col("pv") / F.sum("pv").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc("pv"), "phylum"))).where("_r = 1").select("seq_id", "phylum", "ps", "pv")
-    inside = votes.join(best, ["seq_id", "phylum"]).select("seq_id", "pv", "v", F.posexplode(L.prefixes(F.col("names"))).alias("level", "prefix")).where("level between 2 and 5").groupBy("seq_id", "level", "prefix").agg((F.sum("v") / F.first("pv")).alias("s"))
-    deep = inside.where(F.col("s") >= rank_share).groupBy("seq_id").agg(F.max(F.struct("level", "s", "prefix")).alias("d")).select("seq_id", F.col("d.prefix").alias("deep"))
+    votes = votes.withColumn("phylum", F.when(F.size("names") >= 2, F.array_join(F.slice("names", 1, 2), ";")))
+    per = votes.where("phylum is not null").groupBy("seq_id", "phylum").agg(F.sum("v").alias("pv"))
+    best = per.withColumn("ps", F.col("pv") / F.sum("pv").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc("pv"), "phylum"))).where("_r = 1").select("seq_id", "phylum", "ps")
+    ranks = votes.join(best, ["seq_id", "phylum"]).select("seq_id", "v", F.posexplode(L.prefixes(F.col("names"))).alias("level", "prefix")).where("level between 2 and 5").groupBy("seq_id", "level", "prefix").agg(F.sum("v").alias("v"))
+    ranks = ranks.withColumn("s", F.col("v") / F.sum("v").over(Window.partitionBy("seq_id", "level")))
+    sure, weak = F.col("s") >= rank_share, F.col("s") >= rank_least
+    deep = ranks.groupBy("seq_id").agg(F.max_by("prefix", F.when(sure, F.struct("level", "s", "prefix"))).alias("sure"), F.max_by("prefix", F.when(weak, F.struct("s", "level", "prefix"))).alias("weak"))
     strong = votes.where("share >= 0.05").withColumn("_r", F.row_number().over(w.orderBy(F.desc("v"), "lineage"))).where("_r <= 10").groupBy("seq_id").agg(F.array_join(L.lca(F.col("names")), ";").alias("shared"))
-    pick = F.when(F.col("ps") >= phylum_share, F.coalesce("deep", "phylum")).otherwise(F.col("shared"))
+    pick = F.when(F.col("ps") >= phylum_share, F.coalesce("sure", "weak", "phylum")).when(F.col("ps") >= phylum_least, F.col("phylum")).otherwise(F.col("shared"))
     out = queries.select("seq_id").join(best, "seq_id", "left").join(deep, "seq_id", "left").join(strong, "seq_id", "left")
     return out.select("seq_id", F.when(F.coalesce(F.size(F.split(pick, ";")), F.lit(0)) > 1, pick).otherwise(F.lit(L.NONE)).alias("lineage"))
 
@@ -231,9 +234,81 @@ def fallback(assigned: DataFrame, hits: DataFrame, taxonomy: DataFrame, least: f
     return j.select("feature_id", F.when(use, F.slice("ref_lineage", 1, depth)).otherwise(F.col("lineage")).alias("lineage"), F.coalesce(use, F.lit(False)).alias("replaced"))
 
 
+def sintax_train(refs: DataFrame, k: int = 8) -> DataFrame:
+    """(word, seq_id, lineage): the distinct words of every reference."""
+    return refs.select("seq_id", "lineage", F.explode(S.words(F.col("seq"), k)).alias("word"))
+
+
+def sintax_classify(queries: DataFrame, words: DataFrame, k: int = 8, iters: int = 100, size: int = 32, both_strands: bool = True) -> DataFrame:
+    """(seq_id, assignment) with each rank's share of `iters` draws of `size` of a query's distinct words (with replacement) whose best reference, by shared words, has the
+    top name; of equal references the first by id.  A query is read in the direction that shares more words with all references.
+
+    Draws are numbers made from the query's words and the draw, in the plan: no Python.  Only drawn words are joined, at most iters * size a query."""
+    rows = queries.select("seq_id", "seq", F.lit(False).alias("rev"))
+    if both_strands:
+        rows = rows.union(queries.select("seq_id", S.reverse_complement(S.to_dna(F.col("seq"))), F.lit(True)))
+    w = rows.select("seq_id", "rev", F.sort_array(S.words(F.col("seq"), k)).alias("w")).where(F.size("w") > 0)
+    if both_strands:
+        known = words.select("word").distinct()
+        hits = w.select("seq_id", "rev", F.explode("w").alias("word")).join(known, "word").groupBy("seq_id", "rev").agg(F.count("*").alias("n"))
+        side = hits.groupBy("seq_id").agg(F.max_by("rev", F.struct("n", ~F.col("rev"))).alias("rev"))
+        w = w.join(side, ["seq_id", "rev"])
+    draw = F.explode(F.sequence(F.lit(0), F.lit(iters * size - 1))).alias("d")
+    drawn = w.select("seq_id", "w", F.xxhash64("w").alias("seed"), draw).select("seq_id", F.floor(F.col("d") / size).alias("i"), F.get("w", F.pmod(F.xxhash64("seed", "d"), F.size("w")).cast("int")).alias("word"))
+    times = drawn.groupBy("seq_id", "i", "word").agg(F.count("*").alias("n"))
+    shared = times.join(words.withColumnRenamed("seq_id", "ref"), "word").groupBy("seq_id", "i", "ref", "lineage").agg(F.sum("n").alias("n"))
+    best = shared.groupBy("seq_id", "i").agg(F.min(F.struct((-F.col("n")).alias("n"), "ref", "lineage")).alias("b")).select("seq_id", L.parts(F.col("b.lineage")).alias("names"))
+    per = best.select("seq_id", F.posexplode("names").alias("level", "taxon")).groupBy("seq_id", "level", "taxon").agg(F.count("*").alias("n"))
+    top = per.groupBy("seq_id", "level").agg(F.min(F.struct((-F.col("n")).alias("n"), "taxon")).alias("t"))
+    got = top.groupBy("seq_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("level", F.col("t.taxon").alias("taxon"), F.round(-100 * F.col("t.n") / iters).cast("int").alias("conf")))), lambda x: F.struct(x["taxon"].alias("taxon"), x["conf"].alias("conf"))).alias("assignment"))
+    none = F.array().cast("array<struct<taxon:string,conf:int>>")
+    return queries.select("seq_id").join(got, "seq_id", "left").select("seq_id", F.coalesce("assignment", none).alias("assignment"))
+
+
+def bayes_train(refs: DataFrame, k: int = 6, alpha: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Multinomial naive Bayes over k-letter strings: (kmer, label, lp) of those seen, and a class's (label, prior, unseen).  Counts add up, so batches may be stacked before."""
+    c = refs.select("label", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("label", "kmer").agg(F.count("*").alias("n"))
+    vocabulary = c.agg(F.count_distinct("kmer").alias("v"))
+    classes = c.groupBy("label").agg(F.sum("n").alias("t")).join(refs.groupBy("label").agg(F.count("*").alias("m")), "label").crossJoin(F.broadcast(vocabulary))
+    classes = classes.withColumn("prior", F.ln(F.col("m") / F.sum("m").over(Window.partitionBy()))).withColumn("unseen", F.ln(F.lit(alpha) / (F.col("t") + alpha * F.col("v"))))
+    lp = c.join(classes.select("label", "t", "v"), "label").select("kmer", "label", F.ln((F.col("n") + alpha) / (F.col("t") + alpha * F.col("v"))).alias("lp"))
+    return lp, classes.select("label", "prior", "unseen")
+
+
+def bayes_classify(queries: DataFrame, model: tuple[DataFrame, DataFrame], k: int = 6) -> DataFrame:
+    """(seq_id, label, score): the class with the highest log probability; k-mers that no class has are left out.  Ties go to the first label.
+
+    A class's score is its prior and `unseen` for every known k-mer, and what the k-mers it does have add to that: one join on k-mers."""
+    lp, classes = model
+    q = queries.select("seq_id", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("seq_id", "kmer").agg(F.count("*").alias("n"))
+    known = q.join(lp.select("kmer").distinct(), "kmer").groupBy("seq_id").agg(F.sum("n").alias("n_known"))
+    gain = q.join(lp, "kmer").join(classes.select("label", "unseen"), "label").groupBy("seq_id", "label").agg(F.sum(F.col("n") * (F.col("lp") - F.col("unseen"))).alias("gain"))
+    base = queries.select("seq_id").join(known, "seq_id", "left").crossJoin(classes)  # a row a query and class, as the model's size has it
+    score = base.join(gain, ["seq_id", "label"], "left").select("seq_id", "label", (F.col("prior") + F.coalesce("n_known", F.lit(0)) * F.col("unseen") + F.coalesce("gain", F.lit(0.0))).alias("score"))
+    return score.groupBy("seq_id").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "label")).alias("b")).select("seq_id", "b.label", (-F.col("b.s")).alias("score"))
+
+
+def hierarchical(queries: DataFrame, refs: DataFrame, k: int = 6) -> DataFrame:
+    """(seq_id, phylum, genus): a model for the phylum, then each phylum's own for its genera; refs: seq_id, seq, phylum, genus.  A phylum with one genus always gives that,
+    one without any gives genus__unclassified.  All phyla's genus models are one table by (phylum, genus)."""
+    top = bayes_classify(queries, bayes_train(refs.withColumnRenamed("phylum", "label").select("label", "seq"), k), k).select("seq_id", F.col("label").alias("phylum"))
+    named = refs.where("genus is not null")
+    c = named.select("phylum", "genus", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("phylum", "genus", "kmer").agg(F.count("*").alias("n"))
+    v = c.groupBy("phylum").agg(F.count_distinct("kmer").alias("v"))
+    g = c.groupBy("phylum", "genus").agg(F.sum("n").alias("t")).join(named.groupBy("phylum", "genus").agg(F.count("*").alias("m")), ["phylum", "genus"]).join(v, "phylum")
+    g = g.withColumn("prior", F.ln(F.col("m") / F.sum("m").over(Window.partitionBy("phylum")))).withColumn("unseen", -F.ln(F.col("t") + F.col("v")))
+    q = queries.join(top, "seq_id").select("seq_id", "phylum", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("seq_id", "phylum", "kmer").agg(F.count("*").alias("n"))
+    known = q.join(c.select("phylum", "kmer").distinct(), ["phylum", "kmer"]).groupBy("seq_id").agg(F.sum("n").alias("n_known"))
+    gain = q.join(c.withColumnRenamed("n", "m"), ["phylum", "kmer"]).groupBy("seq_id", "genus").agg(F.sum(F.col("n") * F.ln(F.col("m") + 1.0)).alias("gain"))
+    rows = top.join(g.select("phylum", "genus", "prior", "unseen"), "phylum").join(known, "seq_id", "left").join(gain, ["seq_id", "genus"], "left")
+    score = F.col("prior") + F.coalesce("n_known", F.lit(0)) * F.col("unseen") + F.coalesce("gain", F.lit(0.0))
+    best = rows.groupBy("seq_id").agg(F.min(F.struct((-F.round(score, 9)).alias("s"), "genus")).alias("b")).select("seq_id", "b.genus")
+    return top.join(best, "seq_id", "left").select("seq_id", "phylum", F.coalesce("genus", F.lit("genus__unclassified")).alias("genus"))
+
+
 #: Classifiers by name; one without an implementation is a clear error.
 def classifier(name: str):
-    known = {"wang": wang_classify, "naive-v2": naive_v2_classify, "kraken-lite": kraken_classify, "flat": flat_classify}
+    known = {"wang": wang_classify, "naive-v2": naive_v2_classify, "kraken-lite": kraken_classify, "flat": flat_classify, "sintax": sintax_classify, "bayes": bayes_classify}
     if name not in known:
         raise ValueError(f"no classifier {name!r}; there are {', '.join(sorted(known))}")
     return known[name]

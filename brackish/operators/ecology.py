@@ -75,6 +75,42 @@ def rarefied(counts: DataFrame, depth: int, replicates: int = 1, seed: int = 42)
     return counts.where("count > 0").groupBy("sample").applyInPandas(draw, f"sample string, replicate int, feature_id {kind}, count long")
 
 
+def rarefaction_table(counts: DataFrame, depths: list[int], replicates: int = 10, seed: int = 42) -> DataFrame:
+    """(sample, depth, replicate from 1, richness) of draws without replacement; richness is null beyond a sample's reads.  Seeded by sample, depth and replicate."""
+
+    def draw(key, f):
+        n = f.sort_values("feature_id")["count"].to_numpy(np.int64)
+        tag = int.from_bytes(hashlib.blake2b(str(key[0]).encode(), digest_size=8).digest(), "big")
+        one = lambda r: int((np.random.default_rng([seed, r, tag, key[1]]).multivariate_hypergeometric(n, key[1], method="marginals") > 0).sum())
+        got = [one(r) if n.sum() >= key[1] else None for r in range(replicates)]
+        return pd.DataFrame({"sample": key[0], "depth": key[1], "replicate": range(1, replicates + 1), "richness": pd.array(got, "Int64")})
+
+    rows = counts.where("count > 0").withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths])))
+    return rows.groupBy("sample", "depth").applyInPandas(draw, "sample string, depth long, replicate int, richness long")
+
+
+def rarefied_means(counts: DataFrame, depth: int, replicates: int = 1000, seed: int = 42, block: int = 50) -> DataFrame:
+    """Means of richness, Chao1, Shannon and inverse Simpson over draws of `depth` reads; samples with fewer are left out.  Blocks of draws are tasks of their own."""
+
+    def draw(key, f):
+        n = f.sort_values("feature_id")["count"].to_numpy(np.int64)
+        if n.sum() < depth:
+            return pd.DataFrame({"sample": [], "n": [], "richness": [], "chao1": [], "shannon": [], "inv_simpson": []})
+        tag = int.from_bytes(hashlib.blake2b(str(key[0]).encode(), digest_size=8).digest(), "big")
+        sums, times = np.zeros(4), range(key[1] * block, min((key[1] + 1) * block, replicates))
+        for r in times:
+            x = np.random.default_rng([seed, r, tag]).multivariate_hypergeometric(n, depth, method="marginals")
+            x = x[x > 0]
+            p, f1, f2 = x / depth, (x == 1).sum(), (x == 2).sum()
+            sums += [len(x), len(x) + f1 * (f1 - 1) / (2 * (f2 + 1)), -(p * np.log(p)).sum(), 1 / (p * p).sum()]
+        return pd.DataFrame([[key[0], len(times), *sums]], columns=["sample", "n", "richness", "chao1", "shannon", "inv_simpson"])
+
+    names = ["richness", "chao1", "shannon", "inv_simpson"]
+    rows = counts.where("count > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // block))))
+    got = rows.groupBy("sample", "block").applyInPandas(draw, "sample string, n long, richness double, chao1 double, shannon double, inv_simpson double")
+    return got.groupBy("sample").agg(F.sum("n").alias("replicates"), *[(F.sum(c) / F.sum("n")).alias(c) for c in names])
+
+
 def bray_curtis(counts: DataFrame, normalize: bool = False) -> DataFrame:
     """(a, b, distance) for a < b: 1 - 2 sum min / (Na + Nb).  Only shared features meet, in an equi-join."""
     c = counts.where("count > 0").select("feature_id", "sample", F.col("count").cast("double").alias("x"))
@@ -146,6 +182,132 @@ def dispersion(d: np.ndarray, groups: list) -> dict:
     return out
 
 
+def subset(names: list, d: np.ndarray, keep: set) -> tuple[list, np.ndarray]:
+    """The samples of `keep` and their matrix."""
+    at = [i for i, n in enumerate(names) if n in keep]
+    return [names[i] for i in at], d[np.ix_(at, at)]
+
+
+def shuffled(rng: np.random.Generator, blocks: list | None, n: int) -> np.ndarray:
+    """A permutation, within blocks if there are any."""
+    if blocks is None:
+        return rng.permutation(n)
+    out, b = np.arange(n), np.unique(np.asarray(blocks), return_inverse=True)[1]
+    for k in range(b.max() + 1):
+        at = np.flatnonzero(b == k)
+        out[at] = at[rng.permutation(len(at))]
+    return out
+
+
+def projection(*factors: list) -> np.ndarray:
+    """Hat matrix of an intercept and the factors' indicators."""
+    n = len(factors[0])
+    x = np.hstack([np.ones((n, 1)), *[np.eye(g.max() + 1)[g][:, 1:] for g in (np.unique(np.asarray(f), return_inverse=True)[1] for f in factors)]])
+    u, w, _ = np.linalg.svd(x, full_matrices=False)
+    u = u[:, w > 1e-9 * w.max()]
+    return u @ u.T
+
+
+def marginal_permanova(d: np.ndarray, factors: dict[str, list], permutations: int = 999, seed: int = 42, blocks: list | None = None) -> dict[str, dict]:
+    """Each factor's pseudo-F given all others, with a permutation test (within blocks): {name: df, F, R2, p}.  A factor that is constant within blocks has no test: p is NaN."""
+    g, n = centred(d), len(d)
+    full = projection(*factors.values())
+    df_rest, total = n - round(np.trace(full)), np.trace(g)
+    terms = {}
+    for name in factors:
+        others = [v for k, v in factors.items() if k != name]
+        rest = projection(*others) if others else np.full((n, n), 1 / n)
+        terms[name] = (full - rest, round(np.trace(full) - np.trace(rest)))
+
+    def stats(perm):
+        x = g[np.ix_(perm, perm)]
+        error = (total - (full * x).sum()) / df_rest
+        return np.array([(h * x).sum() / df / error for h, df in terms.values()])
+
+    seen, rng = stats(np.arange(n)), np.random.default_rng(seed)
+    hits = np.zeros(len(terms))
+    for _ in range(permutations):
+        hits += stats(shuffled(rng, blocks, n)) >= seen - 1e-12
+    free = [blocks is None or len(set(zip(blocks, f, strict=True))) > len(set(blocks)) for f in factors.values()]
+    return {k: {"df": df, "F": float(f), "R2": float((h * g).sum() / total), "p": float((x + 1) / (permutations + 1)) if ok else float("nan")} for (k, (h, df)), f, x, ok in zip(terms.items(), seen, hits, free, strict=True)}
+
+
+def dispersion_test(d: np.ndarray, groups: list, permutations: int = 999, seed: int = 42) -> dict:
+    """F of the distances to the spatial median of each sample's group in principal coordinate space, with a permutation test of their residuals."""
+    w, v = np.linalg.eigh(centred(d))
+    x, y = (v * np.sqrt(np.maximum(s, 0)) for s in (w, -w))
+    g = np.unique(np.asarray(groups), return_inverse=True)[1]
+    z = np.zeros(len(g))
+    for k in range(g.max() + 1):
+        m = g == k
+        z[m] = np.sqrt(np.maximum(((x[m] - median_point(x[m])) ** 2).sum(1) - ((y[m] - median_point(y[m])) ** 2).sum(1), 0))
+    k, n = g.max() + 1, len(g)
+    sizes = np.bincount(g)
+
+    def f(z):
+        means = np.bincount(g, z) / sizes
+        within = ((z - means[g]) ** 2).sum()
+        return (sizes * (means - z.mean()) ** 2).sum() / (k - 1) / (within / (n - k)) if within > 0 else np.inf
+
+    means = np.bincount(g, z) / sizes
+    residual, rng = z - means[g], np.random.default_rng(seed)
+    seen = f(z)
+    hits = sum(f(residual[rng.permutation(n)]) >= seen - 1e-12 for _ in range(permutations))
+    return {"F": float(seen), "p": (hits + 1) / (permutations + 1), "means": means.tolist()}
+
+
+def median_point(x: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Spatial median (Weiszfeld)."""
+    m = x.mean(0)
+    for _ in range(rounds):
+        far = np.maximum(np.sqrt(((x - m) ** 2).sum(1)), 1e-12)
+        new = (x / far[:, None]).sum(0) / (1 / far).sum()
+        if np.abs(new - m).max() < 1e-10:
+            break
+        m = new
+    return m
+
+
+def isotonic(y: np.ndarray) -> np.ndarray:
+    """Nearest non-decreasing sequence (pooled neighbours)."""
+    tops: list[list[float]] = []
+    for v in y:
+        tops.append([v, 1])
+        while len(tops) > 1 and tops[-2][0] > tops[-1][0]:
+            b, a = tops.pop(), tops.pop()
+            tops.append([(a[0] * a[1] + b[0] * b[1]) / (a[1] + b[1]), a[1] + b[1]])
+    return np.repeat([t[0] for t in tops], [int(t[1]) for t in tops])
+
+
+def nmds(d: np.ndarray, axes: int = 2, tries: int = 20, rounds: int = 300, seed: int = 42) -> tuple[np.ndarray, float, str]:
+    """Non-metric scaling by majorisation over an isotonic fit: coordinates, stress (formula 1) and its class (good, fair, poor) of the best
+    of the principal coordinates and `tries` random starts."""
+    n = len(d)
+    i, j = np.triu_indices(n, 1)
+    order = np.argsort(d[i, j], kind="stable")
+    i, j = i[order], j[order]
+    rng = np.random.default_rng(seed)
+    best: tuple[float, np.ndarray] | None = None
+    for t in range(tries + 1):
+        x = pcoa(d, axes)[0] if not t else rng.normal(size=(n, axes))
+        last = np.inf
+        for _ in range(rounds):
+            far = np.sqrt(((x[i] - x[j]) ** 2).sum(1))
+            fit = isotonic(far)
+            stress = np.sqrt(((far - fit) ** 2).sum() / max((far**2).sum(), 1e-300))
+            if last - stress < 1e-7:
+                break
+            last = stress
+            b = np.zeros((n, n))
+            b[i, j] = b[j, i] = -np.where(far > 1e-12, fit / np.maximum(far, 1e-12), 0)
+            b[np.arange(n), np.arange(n)] = -b.sum(1)
+            x = b @ x / n
+            x /= np.sqrt((x**2).sum() / n) or 1
+        if best is None or stress < best[0]:
+            best = (float(stress), x)
+    return best[1], best[0], "good" if best[0] < 0.1 else "fair" if best[0] < 0.2 else "poor"
+
+
 def mantel(a: np.ndarray, b: np.ndarray, permutations: int = 999, seed: int = 42) -> dict:
     i = np.triu_indices(len(a), 1)
     r = lambda p: np.corrcoef(a[np.ix_(p, p)][i], b[i])[0, 1]
@@ -201,3 +363,19 @@ def mock_error(observed: DataFrame, expected: DataFrame) -> DataFrame:
     j = observed.select("genus", F.col("pct").alias("o")).join(expected.select("genus", F.col("pct").alias("e")), "genus", "full_outer")
     o, e = F.coalesce("o", F.lit(0.0)), F.coalesce("e", F.lit(0.0))
     return j.agg((F.sum(F.abs(o - e)) / 200).alias("bray_curtis"), F.sum(F.when(F.col("e").isNull(), o).otherwise(0.0)).alias("unexpected_pct"), F.count_if((e > 0) & (o > 0)).alias("found"), F.sqrt(F.sum(F.when(F.col("e").isNotNull(), (o - e) * (o - e))) / F.count("e")).alias("rmse"))
+
+
+def ellipse(points: DataFrame, by: str, deviations: float = 2.4477) -> DataFrame:
+    """Confidence ellipse of (x, y) by group: centre, half axes along and across the correlation, scaled by standard deviations."""
+    a = points.groupBy(by).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
+    r = F.when((F.col("sx") > 0) & (F.col("sy") > 0), F.greatest(F.least(F.col("cov") / (F.col("sx") * F.col("sy")), F.lit(1.0)), F.lit(-1.0))).otherwise(F.lit(0.0))
+    return a.withColumn("pearson", r).select(by, "mx", "my", "pearson", F.sqrt(1 + F.col("pearson")).alias("radius_x"), F.sqrt(1 - F.col("pearson")).alias("radius_y"), (deviations * F.col("sx")).alias("scale_x"), (deviations * F.col("sy")).alias("scale_y"))
+
+
+def qa_report(steps: DataFrame, lengths: DataFrame, bands: DataFrame) -> DataFrame:
+    """One JSON text: reads before and after every step (step, before, after), length figures (sample, n) by sample, and the marker bands that fit."""
+    s = steps.select(F.struct("step", "before", "after", F.when(F.col("before") > 0, F.round(100.0 * F.col("after") / F.col("before"), 2)).alias("kept_pct")).alias("s")).agg(F.sort_array(F.collect_list("s")).alias("steps"))
+    per = lengths.groupBy("sample").agg(F.count("*").alias("n"), F.min("n").alias("least"), F.max("n").alias("most"), F.round(F.avg("n"), 2).alias("mean"))
+    t = per.agg(F.sort_array(F.collect_list(F.struct("sample", "n", "least", "most", "mean"))).alias("samples"))
+    m = bands.agg(F.sort_array(F.collect_set("marker")).alias("markers"))
+    return s.crossJoin(t).crossJoin(m).select(F.to_json(F.struct("steps", "samples", "markers")).alias("report"))

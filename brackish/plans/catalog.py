@@ -5,30 +5,15 @@ Numbers that come out of floating-point sums are rounded to six places on both s
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import lineage as L
 from ..functions import sequence as S
 from ..operators import classify, counts, ecology, msa, search
+from . import more  # noqa: F401
 from . import views as V
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-r6 = lambda c: F.round(c, 6)
-
-
-def query(name: str, sql: str | None = None):
-    def put(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return put
-
+from .register import ORACLES, QUERIES, query, r6  # noqa: F401
 
 RUN = "coalesce(list_max(list_transform(regexp_extract_all({0}, 'A+|C+|G+|T+'), lambda x: length(x))), 0)"
 KM = "CASE WHEN length({0}) >= {1} THEN list_transform(range(1, length({0}) - {1} + 2), lambda i: substr({0}, i, {1})) ELSE [] END"
@@ -287,12 +272,6 @@ def _(s, d):
     return V.table(s, d, "events").groupBy("user_id").agg(F.min(F.struct("ts", "event_id")).alias("f")).select("user_id", "f.event_id")
 
 
-@query("win4_running_cap", "SELECT doc_id FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS g FROM documents) WHERE g <= 5")
-def _(s, d):
-    w = Window.partitionBy("lang", "source").orderBy("doc_id")
-    return V.table(s, d, "documents").select("doc_id", F.row_number().over(w).alias("g")).where("g <= 5").select("doc_id")
-
-
 @query("set1_shared_features", f"WITH {V.COUNTS} SELECT feature_id FROM counts WHERE sample = 'S1' INTERSECT SELECT feature_id FROM counts WHERE sample = 'S2'")
 def _(s, d):
     c = V.counts(s, d)
