@@ -63,8 +63,8 @@ def wide(table: DataFrame, key: str, samples: list[str] | None = None) -> DataFr
 
 
 def long(table: DataFrame, key: str) -> DataFrame:
-    names = [c for c in table.columns if c != key]
-    return table.unpivot([key], names, "sample", "count").where("count > 0")
+    names = [F.col(f"`{c}`") for c in table.columns if c != key]
+    return table.unpivot([F.col(f"`{key}`")], names, "sample", "count").where("count > 0")
 
 
 def richness(counts: DataFrame) -> DataFrame:

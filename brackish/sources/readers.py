@@ -59,17 +59,20 @@ def manifest(files: DataFrame, require_mate: bool = True) -> DataFrame:
     return r1.join(r2, "sample", "inner" if require_mate else "left")
 
 
-def count_table(spark: SparkSession, path: str, *, id_col: str | None = None, comments: int = 0) -> DataFrame:
-    """Wide TSV -> (feature_id, sample, count); the first column names the feature; `comments` leading lines are skipped."""
+def count_table(spark: SparkSession, path: str, *, id_col: str | None = None, comments: bool = False) -> DataFrame:
+    """Wide TSV -> (feature_id, sample, count); the first column names the feature; with `comments`, lines that begin with "# " are skipped."""
     if comments:
-        lines = spark.read.text(path).where(~F.col("value").startswith("# "))
-        df = spark.read.csv(lines.rdd.map(lambda r: r[0]), sep="\t", header=True)
+        lines = spark.read.text(path).where(~F.col("value").startswith("# ") & (F.col("value") != ""))
+        header = lines.first()
+        names = header["value"].split("\t") if header else [id_col or "feature_id"]
+        cells = F.split("value", "\t", -1)
+        df = lines.where(F.col("value") != F.lit(header["value"] if header else "")).select(*[F.get(cells, F.lit(i)).alias(c) for i, c in enumerate(names)])
     else:
         df = spark.read.csv(path, sep="\t", header=True)
     key = id_col or df.columns[0]
     names = [c for c in df.columns if c != key]
     wide = df.select(F.col(f"`{key}`").alias("feature_id"), *[F.expr(f"coalesce(try_cast(`{c}` as double), 0)").cast("long").alias(c) for c in names])
-    return wide.unpivot(["feature_id"], names, "sample", "count").where("count > 0")
+    return wide.unpivot(["feature_id"], [F.col(f"`{c}`") for c in names], "sample", "count").where("count > 0")
 
 
 def shared(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +80,7 @@ def shared(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.csv(path, sep="\t", header=True)
     names = df.columns[3:]
     wide = df.select(F.col("Group").alias("sample"), *[F.col(f"`{c}`").cast("long").alias(c) for c in names])
-    return wide.unpivot(["sample"], names, "feature_id", "count").where("count > 0").select("feature_id", "sample", "count")
+    return wide.unpivot(["sample"], [F.col(f"`{c}`") for c in names], "feature_id", "count").where("count > 0").select("feature_id", "sample", "count")
 
 
 def taxonomy(spark: SparkSession, path: str, *, style: str = "plain") -> DataFrame:
