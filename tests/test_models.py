@@ -56,3 +56,9 @@ def test_words_by_micro_batch(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out").groupBy("word", "lineage").agg({"m": "sum"})
     want = classify.wang_train(refs)[0].select("word", "lineage", "m")
     assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_shared_table_with_dots(spark, tmp_path):
+    (tmp_path / "t.shared").write_text("label\tGroup\tnumOtus\tOtu1\tOtu.2\n0.03\ts1\t2\t4\t0\n0.03\ts2\t2\t0\t5\n")
+    got = {(r.feature_id, r["sample"], int(r["count"])) for r in readers.shared(spark, f"{tmp_path}/t.shared").collect()}
+    assert got == {("Otu1", "s1", 4), ("Otu.2", "s2", 5)}
