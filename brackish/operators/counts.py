@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions import lineage as L
 from ..functions import sequence as S
+from ..plans.session import written
 
 
 def numbered(df: DataFrame, order: list[Column], name: str, fmt: str | None = None) -> DataFrame:
-    """Sequential numbers from 1 in a total order, without one task for all rows: ranges are sorted apart
-    and each adds the rows before it."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    inside = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    before = inside.groupBy("_p").agg(F.count("*").alias("_n"))
+    """Sequential numbers from 1 in a total order, without one task for all rows: ranges are sorted apart and each adds
+    the rows before it.  The sorted rows are written once, as a second run of the plan may cut its ranges elsewhere."""
+    sorted_ = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()), "numbered")
+    ranged = sorted_.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    before = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
     before = before.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     number = F.col("_i") + F.col("_b")
-    return inside.join(before, "_p").withColumn(name, F.format_string(fmt, number) if fmt else number).drop("_p", "_i", "_n", "_b")
+    return ranged.join(F.broadcast(before), "_p").withColumn(name, F.format_string(fmt, number) if fmt else number).drop("_p", "_m", "_i", "_b")
 
 
 def unique_sequences(reads: DataFrame, *, lexical: bool = False) -> DataFrame:
