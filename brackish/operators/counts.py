@@ -11,8 +11,9 @@ from ..plans.session import written
 
 
 def numbered(df: DataFrame, order: list[Column], name: str, fmt: str | None = None) -> DataFrame:
-    """Sequential numbers from 1 in a total order, without one task for all rows: ranges are sorted apart and each adds
+    """Sequential numbers from 1 in a total order (null last), without one task for all rows: ranges are sorted apart and each adds
     the rows before it.  The sorted rows are written once, as a second run of the plan may cut its ranges elsewhere."""
+    order = [c.asc_nulls_last() for c in order]
     sorted_ = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()), "numbered")
     ranged = sorted_.withColumn("_p", F.shiftright("_m", 33)).withColumn("_i", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
     before = ranged.groupBy("_p").agg(F.count("*").alias("_n"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from brackish.operators import counts
 
 
-@pytest.mark.parametrize("lexical", [False])
+@pytest.mark.parametrize("lexical", [False, True])
 def test_numbers_of_rows_in_several_ranges(spark, lexical):
     small = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
     was = {k: spark.conf.get(k) for k in small}
