@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lineage as L
 from ..functions import sequence as S
+from . import windows as W
 
 #: Least lengths by domain, most ambiguous bases, longest run, least length of all.
 LEAST_BY_DOMAIN = {"Archaea": 900, "Bacteria": 1200, "Eukaryota": 1400}
@@ -80,6 +82,30 @@ def minimizer_index(postings: DataFrame, k: int = 8, m: int = 4) -> DataFrame:
     return postings.select(F.get(S.minimizers(F.col("kmer"), k, m), F.lit(0)).alias("minimizer"), "lineage").where("minimizer is not null").distinct()
 
 
+def lca_index(refs: DataFrame, k: int, m: int = 0) -> DataFrame:
+    """(kmer, lca): shared beginning of the lineages with a k-letter string, or with `m` with a minimizer.  Tasks merge lineages before the shuffle."""
+    own = W.shared_names(refs.select("seq", F.array_join(L.parts(F.col("lineage")), ";").alias("lineage")), k, m)
+    return own.groupBy("kmer").agg(L.lca(L.parts(F.col("names"))).alias("lca"))
+
+
+def minimizer_lca_classify(queries: DataFrame, lcas: DataFrame, k: int = 8, m: int = 4) -> DataFrame:
+    """minimizer_classify from lca_index's table, which every task holds, or else by its join."""
+    own = W.sent_names(lcas, "kmer", "lca", m)
+    if own is None:
+        return minimizer_classify(queries, lcas.select(F.col("kmer").alias("minimizer"), F.array_join("lca", ";").alias("lineage")), k, m)
+    shared = queries.sparkSession.sparkContext.broadcast(own)
+
+    def run(s):
+        table, ids, names = shared.value
+        got = [names[i] for i in np.unique(ids[W.found(table, *W.minimizer_codes(s, k, m))])]
+        out = got[0] if got else ()
+        for x in got[1:]:
+            out = W.shared_beginning(out, x)
+        return (";".join(out) or L.NONE,)
+
+    return W.each(queries, {"lineage": "string"}, run)
+
+
 def minimizer_classify(queries: DataFrame, index: DataFrame, k: int = 8, m: int = 4) -> DataFrame:
     """(seq_id, lineage): what all taxa share that have any of a query's minimizers; Unclassified without a hit or a shared name.
 
@@ -92,7 +118,41 @@ def minimizer_classify(queries: DataFrame, index: DataFrame, k: int = 8, m: int
 
 def lca_classify(queries: DataFrame, lcas: DataFrame, k: int = 15, ratio: float = 0.85, deepest: int = 6) -> DataFrame:
     """(seq_id, lineage) from a table (kmer, lca) alone: every k-mer votes for all beginnings of its shared lineage; from the best of level 2 (or 1) on,
-    the best of the next level is taken while it has more than `ratio` of the votes of the one before.  Level n has n names below the root; ties go to the first in order."""
+    the best of the next level is taken while it has more than `ratio` of the votes of the one before.  Level n has n names below the root; ties go to the first in order.
+    The table is held by every task, or else joined."""
+    own = W.sent_names(lcas.where(F.size("lca") > 0), "kmer", "lca", k)
+    if own is None:
+        return lca_join(queries, lcas, k, ratio, deepest)
+    levels = []
+    for n in range(2, deepest + 2):
+        every = sorted({x[:n] for x in own[2] if len(x) >= n}, key=";".join)
+        at = {x: i for i, x in enumerate(every)}
+        levels.append((np.array([at.get(x[:n], len(every)) if len(x) >= n else len(every) for x in own[2]], np.int64), [";".join(x) for x in every]))
+    shared = queries.sparkSession.sparkContext.broadcast((own[0], own[1], levels))
+
+    def run(s):
+        table, ids, levels = shared.value
+        x, rest = W.codes(s, k)
+        votes = np.bincount(ids[W.found(table, x, [w for w in rest if "N" not in w])], minlength=1)
+        ladder = []
+        for at, names in levels:
+            v = np.bincount(at[: len(votes)], votes[: len(at)], len(names) + 1)[: len(names)] if names else np.zeros(0)
+            if len(v) and v.max() > 0:
+                ladder.append((v.max(), names[int(v.argmax())]))
+        if not ladder:
+            return (L.NONE,)
+        v, pick = ladder[min(1, len(ladder) - 1)]
+        for more, name in ladder[2:]:
+            if more / (v + 1e-9) <= ratio:
+                break
+            v, pick = more, name
+        return (pick,)
+
+    return W.each(queries, {"lineage": "string"}, run)
+
+
+def lca_join(queries: DataFrame, lcas: DataFrame, k: int, ratio: float, deepest: int) -> DataFrame:
+    """lca_classify for a table of any size."""
     q = queries.select("seq_id", F.explode(S.kmers_without_n(F.col("seq"), k)).alias("kmer")).groupBy("seq_id", "kmer").agg(F.count("*").alias("n"))
     votes = q.join(lcas.where(F.size("lca") > 0), "kmer").groupBy("seq_id", "lca").agg(F.sum("n").alias("n"))
     levels = votes.select("seq_id", "n", F.posexplode(L.prefixes(F.col("lca"), deepest + 1)).alias("level", "prefix")).where("level >= 1").groupBy("seq_id", "level", "prefix").agg(F.sum("n").alias("v"))

@@ -237,7 +237,7 @@ def _(s, d):
 
 @query("cls8_lca_classify", f"WITH {V.REFS}, k AS (SELECT string_split(lineage, ';') AS l, unnest({KM.format('seq', 10)}) AS kmer FROM refs), c AS (SELECT kmer, any_value(l) AS l, (count(DISTINCT l[1:1]) = 1)::INT + (count(DISTINCT l[1:2]) = 1)::INT + (count(DISTINCT l[1:3]) = 1)::INT + (count(DISTINCT l[1:4]) = 1)::INT AS n FROM k GROUP BY 1), q AS (SELECT seq_id, unnest({KM.format('seq', 10)}) AS kmer FROM reads), v AS (SELECT seq_id, list_slice(l, 1, n) AS l, count(*) AS n FROM q JOIN c USING (kmer) GROUP BY ALL), x AS (SELECT seq_id, i AS lv, array_to_string(list_slice(l, 1, i + 1), ';') AS p, sum(n) AS v FROM v, range(1, 4) r(i) WHERE len(l) > i GROUP BY ALL), b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY seq_id, lv ORDER BY v DESC, p) = 1), w AS (SELECT seq_id, max(p) FILTER (WHERE lv = 1) AS p1, max(p) FILTER (WHERE lv = 2) AS p2, max(p) FILTER (WHERE lv = 3) AS p3, max(v) FILTER (WHERE lv = 2) AS v2, max(v) FILTER (WHERE lv = 3) AS v3 FROM b GROUP BY 1) SELECT seq_id, coalesce(CASE WHEN p3 IS NOT NULL AND v3 / (v2 + 1e-9) > 0.85 THEN p3 ELSE coalesce(p2, p1) END, 'Unclassified') AS lineage FROM reads LEFT JOIN w USING (seq_id)")
 def _(s, d):
-    return reference.lca_classify(V.reads(s, d), classify.kmer_lca(classify.postings(V.refs(s, d), 10)), 10)
+    return reference.lca_classify(V.reads(s, d), reference.lca_index(V.refs(s, d), 10), 10)
 
 
 CALLS = "t AS (SELECT feature_id, [p_type, p_brand, concat('size', p_size), p_name] AS truth, lineage AS cut FROM tax JOIN part ON p_partkey = feature_id), calls AS (SELECT c.conf, t.truth, feature_id % 3 > 0 AS known, CASE WHEN len(cut) < 2 THEN []::VARCHAR[] WHEN feature_id % 11 = 0 THEN list_concat(list_slice(cut, 2, len(cut) - 1), ['odd']) ELSE list_slice(cut, 2, CASE WHEN c.conf = 80 AND feature_id % 2 = 0 THEN 3 ELSE 9 END) END AS got FROM t, (VALUES (60), (80)) c(conf)), o AS (SELECT *, CASE WHEN len(got) = 0 THEN 'unclassified' WHEN len(got) >= 4 THEN CASE WHEN list_slice(got, 1, 4) = truth THEN 'genus_ok' ELSE 'genus_wrong' END WHEN list_slice(truth, 1, len(got)) = got THEN 'above_ok' ELSE 'above_wrong' END AS o FROM calls)"
