@@ -231,8 +231,7 @@ def _(s, d):
 
 @query("cls14_minimizer_classify", f"WITH {V.REFS}, {MINI}, qk AS (SELECT DISTINCT seq_id, unnest({KM.format('seq', 12)}) AS kmer FROM reads), q AS (SELECT DISTINCT seq_id, list_min(list_transform(range(1, 4), lambda i: substr(kmer, i, 10))) AS minimizer FROM qk), j AS (SELECT DISTINCT seq_id, string_split(lineage, ';') AS l FROM q JOIN mi USING (minimizer)), g AS (SELECT seq_id, any_value(l) AS l, (count(DISTINCT l[1:1]) = 1)::INT + (count(DISTINCT l[1:2]) = 1)::INT + (count(DISTINCT l[1:3]) = 1)::INT + (count(DISTINCT l[1:4]) = 1)::INT AS n FROM j GROUP BY 1) SELECT seq_id, coalesce(array_to_string(list_slice(l, 1, n), ';'), 'Unclassified') AS lineage FROM reads LEFT JOIN g USING (seq_id)")
 def _(s, d):
-    index = reference.minimizer_index(classify.postings(V.refs(s, d), 12), 12, 10)
-    return reference.minimizer_classify(V.reads(s, d), index, 12, 10)
+    return reference.minimizer_lca_classify(V.reads(s, d), reference.lca_index(V.refs(s, d), 12, 10), 12, 10)
 
 
 @query("cls8_lca_classify", f"WITH {V.REFS}, k AS (SELECT string_split(lineage, ';') AS l, unnest({KM.format('seq', 10)}) AS kmer FROM refs), c AS (SELECT kmer, any_value(l) AS l, (count(DISTINCT l[1:1]) = 1)::INT + (count(DISTINCT l[1:2]) = 1)::INT + (count(DISTINCT l[1:3]) = 1)::INT + (count(DISTINCT l[1:4]) = 1)::INT AS n FROM k GROUP BY 1), q AS (SELECT seq_id, unnest({KM.format('seq', 10)}) AS kmer FROM reads), v AS (SELECT seq_id, list_slice(l, 1, n) AS l, count(*) AS n FROM q JOIN c USING (kmer) GROUP BY ALL), x AS (SELECT seq_id, i AS lv, array_to_string(list_slice(l, 1, i + 1), ';') AS p, sum(n) AS v FROM v, range(1, 4) r(i) WHERE len(l) > i GROUP BY ALL), b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY seq_id, lv ORDER BY v DESC, p) = 1), w AS (SELECT seq_id, max(p) FILTER (WHERE lv = 1) AS p1, max(p) FILTER (WHERE lv = 2) AS p2, max(p) FILTER (WHERE lv = 3) AS p3, max(v) FILTER (WHERE lv = 2) AS v2, max(v) FILTER (WHERE lv = 3) AS v3 FROM b GROUP BY 1) SELECT seq_id, coalesce(CASE WHEN p3 IS NOT NULL AND v3 / (v2 + 1e-9) > 0.85 THEN p3 ELSE coalesce(p2, p1) END, 'Unclassified') AS lineage FROM reads LEFT JOIN w USING (seq_id)")
