@@ -26,6 +26,8 @@ lines; a null id counts as the last; texts keep their other lines and line break
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ BUCKETS = 1 << 20
 CHUNK = 1 << 10
 #: Groups of at least so many sets with a word in common are first compared with their earliest one alone.  It decides on work, not on results.
 HUB_WORDS, HUB_LEAST = 12, 32
+#: Keys of the two joins on words are dealt into so many parts, one after the other, so that the shuffle files of one part are on disk at once.
+PARTS = 3
 
 
 def split(text: Column) -> Column:
@@ -127,10 +131,18 @@ def known(w: Column) -> Column:
     return F.shiftrightunsigned(w, 56) > 0
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, sizes: Sizes, name: str) -> DataFrame:
-    """Links (g of the later set, later, earlier) of the candidate pairs (g_a, g_b), as places."""
-    pairs = written(pairs.distinct(), f"{name}-pairs")
-    settle(docs.sparkSession)
+def part(rows: DataFrame, i: int) -> DataFrame:
+    """The rows of the i-th part of all keys."""
+    return rows.where(F.pmod("key", F.lit(PARTS)) == i)
+
+
+def verified(candidates: Callable[[int], DataFrame], sets: DataFrame, docs: DataFrame, sizes: Sizes, name: str) -> DataFrame:
+    """Links (g of the later set, later, earlier) of the candidate pairs (g_a, g_b) of every part, as places."""
+    parts = []
+    for i in range(PARTS):
+        parts.append(written(candidates(i).distinct(), f"{name}-pairs"))
+        settle(docs.sparkSession)
+    pairs = reduce(DataFrame.union, parts).distinct()
     end = lambda x: sets.select(F.col("g").alias(f"g_{x}"), F.col("first").alias(f"first_{x}"))
     placed = pairs.join(end("a"), "g_a").join(end("b"), "g_b")
     late = F.col("first_a") > F.col("first_b")
@@ -148,30 +160,31 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, sizes: Sizes, n
     enough = lambda x: F.size(F.array_intersect(x["e"], x["l"])) >= sizes.need(F.size(x["e"]) + F.size(x["l"]))
     links = both.select("g", "later", "earlier", F.explode(F.transform(F.array(F.struct(words(F.col("e_line")).alias("e"), words(F.col("l_line")).alias("l"))), enough)).alias("ok")).where("ok").drop("ok")
     links = written(links, f"{name}-links")
-    forget(pairs, placed, bits)
+    forget(*parts, placed, bits)
     settle(docs.sparkSession)
     return links
 
 
-def by_hub(sets: DataFrame, sizes: Sizes) -> DataFrame:
-    """Candidate pairs (g_a, g_b) of each set with the earliest one of the large groups that share a commoner word of its prefix."""
+def by_hub(sets: DataFrame, sizes: Sizes, i: int) -> DataFrame:
+    """Candidate pairs (g_a, g_b) of each set with the earliest one of the large groups that share a commoner word of its prefix, in the i-th part."""
     words_of = F.slice(F.reverse(F.filter("t", known)), F.lit(1), F.lit(HUB_WORDS))
     heads = sets.select("g", "n", "p", F.col("first.o").alias("o"), sizes.band(F.col("n")).alias("band"), F.explode(words_of).alias("w")).select(F.xxhash64("w", "band").alias("key"), "g", "n", "p", "o")
-    hubs = heads.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct("o", "g", "n", "p")).alias("hub")).where(F.col("many") >= HUB_LEAST)
-    tried = heads.join(hubs.select("key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("g", "n", "p")]), "key").where("g <> hub_g")
+    heads = part(heads, i)
+    hubs = heads.groupBy("key").agg(F.count("*").alias("many"), *[F.min_by(c, "o").alias(f"hub_{c}") for c in ("g", "n", "p")]).where(F.col("many") >= HUB_LEAST).drop("many")
+    tried = heads.join(hubs, "key").where("g <> hub_g")
     return tried.where(sizes.may(F.least("n", "hub_n"), F.greatest("n", "hub_n"), F.col("p"), F.col("hub_p"))).select(F.col("hub_g").alias("g_a"), F.col("g").alias("g_b"))
 
 
-def by_prefix(sets: DataFrame, sizes: Sizes) -> DataFrame:
-    """Candidate pairs (g_a, g_b), each once or more; sets: with o and `open`, and only pairs whose later set may be an open one.
+def by_prefix(sets: DataFrame, sizes: Sizes, i: int) -> DataFrame:
+    """Candidate pairs (g_a, g_b) of the i-th part, each once or more; sets: with `open`, and only pairs whose later set may be an open one.
 
     One index serves both sides: a row has whether its word is in the prefix for longer partners (low) and for shorter ones (high)."""
     n, band = F.col("n"), sizes.band(F.col("n"))
-    index = sets.select("g", "n", "p", "o", "open", F.posexplode("t").alias("at", "w")).where(known(F.col("w")))
+    index = sets.select("g", "n", "p", F.col("first.o").alias("o"), "open", F.posexplode("t").alias("at", "w")).where(known(F.col("w")))
     step = F.explode(F.when(F.col("at") < sizes.against(n, sizes.beyond(n)), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     index = index.select("*", step.alias("step"))
     flags = F.when(F.col("open"), 1).otherwise(0) + F.when((F.col("step") == 1) | (F.col("at") < sizes.against(n, n)), 2).otherwise(0) + F.when(F.col("step") == 0, 4).otherwise(0)
-    index = index.select(F.xxhash64("w", band + F.col("step")).alias("key"), "g", "o", "p", "n", "at", flags.alias("is"))
+    index = part(index.select(F.xxhash64("w", band + F.col("step")).alias("key"), "g", "o", "p", "n", "at", flags.alias("is")), i)
     a, b = (index.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("g", "o", "p", "n", "at", "is")]) for x in "ab")
     # Both flags in one term: a filter on one side alone would be pushed down, and the sides could no longer share one exchange.
     has = lambda x, bit: F.col(f"is_{x}").bitwiseAND(F.lit(bit))
@@ -190,9 +203,12 @@ def matched(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     sizes = Sizes(similarity)
     sets = word_sets(docs, sizes)
     settle(docs.sparkSession)
-    early = verified(by_hub(sets, sizes), sets, docs, sizes, "line-hub")
-    rest = sets.withColumn("o", F.col("first.o")).join(early.select("g").distinct().withColumn("gone", F.lit(True)), "g", "left").withColumn("open", F.col("gone").isNull())
-    return sets, verified(by_prefix(rest, sizes), sets, docs, sizes, "line").union(early)
+    early = verified(lambda i: by_hub(sets, sizes, i), sets, docs, sizes, "line-hub")
+    gone = early.select("g").distinct().withColumn("gone", F.lit(True))
+    rest = written(sets.join(gone, "g", "left").withColumn("open", F.col("gone").isNull()).drop("gone"), "line-sets")
+    forget(sets)
+    settle(docs.sparkSession)
+    return rest, verified(lambda i: by_prefix(rest, sizes, i), rest, docs, sizes, "line").union(early)
 
 
 def kept(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
