@@ -69,8 +69,8 @@ def rarity(docs: DataFrame) -> DataFrame:
     """One row with a byte for every hash bucket: three times the binary logarithm of its words' count.  A byte of 0 says that at most one word fell there.
 
     Eight bytes are put together as bits of a number, and the numbers' hexadecimal digits in order."""
-    each = F.explode(split(F.replace("text", F.lit("\n"), F.lit(" "))))
-    counts = docs.select(each.alias("w")).where("w <> ''").groupBy(bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
+    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    counts = lines.select(F.explode(split(F.col("line"))).alias("w")).where("w <> ''").groupBy(bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
     level = F.least(F.floor(3 * F.log2("n")), F.lit(94)).cast("long")
     eight = counts.select(F.shiftright("b", 3).alias("c"), F.call_function("shiftleft", level, ((7 - F.col("b").bitwiseAND(F.lit(7))) * 8).cast("int")).alias("v"))
     every = eight.union(docs.sparkSession.range(BUCKETS // 8).select("id", F.lit(0).cast("long"))).groupBy("c").agg(F.bit_or("v").alias("v"))
@@ -165,10 +165,15 @@ def verified(candidates: Callable[[int], DataFrame], sets: DataFrame, docs: Data
     return links
 
 
-def by_hub(sets: DataFrame, sizes: Sizes, i: int) -> DataFrame:
-    """Candidate pairs (g_a, g_b) of each set with the earliest one of the large groups that share a commoner word of its prefix, in the i-th part."""
+def heads_of(sets: DataFrame, sizes: Sizes) -> DataFrame:
+    """key, g, n, p, o: the commoner words of every set's prefix, made once for all parts."""
     words_of = F.slice(F.reverse(F.filter("t", known)), F.lit(1), F.lit(HUB_WORDS))
-    heads = sets.select("g", "n", "p", F.col("first.o").alias("o"), sizes.band(F.col("n")).alias("band"), F.explode(words_of).alias("w")).select(F.xxhash64("w", "band").alias("key"), "g", "n", "p", "o")
+    heads = sets.select("g", "n", "p", F.col("first.o").alias("o"), sizes.band(F.col("n")).alias("band"), F.explode(words_of).alias("w"))
+    return written(heads.select(F.xxhash64("w", "band").alias("key"), "g", "n", "p", "o"), "line-heads")
+
+
+def by_hub(heads: DataFrame, sizes: Sizes, i: int) -> DataFrame:
+    """Candidate pairs (g_a, g_b) of each set with the earliest one of the large groups that share a commoner word of its prefix, in the i-th part."""
     heads = part(heads, i)
     hubs = heads.groupBy("key").agg(F.count("*").alias("many"), *[F.min_by(c, "o").alias(f"hub_{c}") for c in ("g", "n", "p")]).where(F.col("many") >= HUB_LEAST).drop("many")
     tried = heads.join(hubs, "key").where("g <> hub_g")
@@ -203,7 +208,9 @@ def matched(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     sizes = Sizes(similarity)
     sets = word_sets(docs, sizes)
     settle(docs.sparkSession)
-    early = verified(lambda i: by_hub(sets, sizes, i), sets, docs, sizes, "line-hub")
+    heads = heads_of(sets, sizes)
+    early = verified(lambda i: by_hub(heads, sizes, i), sets, docs, sizes, "line-hub")
+    forget(heads)
     gone = early.select("g").distinct().withColumn("gone", F.lit(True))
     rest = written(sets.join(gone, "g", "left").withColumn("open", F.col("gone").isNull()).drop("gone"), "line-sets")
     forget(sets)
